@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinlink.functions.values import STAND_INS, ZIP_STAND_INS, digit_code
+from kinlink.llm.addresses import location_rows, locations, same_location_pairs
 from kinlink.llm.lookalikes import canonical_texts, look_alike_pairs, look_keys
 from kinlink.llm.packing import containers
 from kinlink.llm.survivors import duplicated, survivors, votes
@@ -13,6 +14,7 @@ from kinlink.llm.tokens import BYTE_BPE_50K, encoded, token_counts
 from kinlink.session import cut, table
 
 CONTAINER_TOKENS = 2048
+EDITION = 2024
 REGISTRY_FIELDS = {
     "ceeb_school": ["full_name", "address", "city", "zip"],
     "ncaa_school": ["name", "address", "city", "zip"],
@@ -55,6 +57,25 @@ def p2_best(spark: SparkSession, d: str) -> DataFrame:
     return survivors(rows, fields).select("grp.code", *fields)
 
 
+def _locations(spark: SparkSession, d: str) -> DataFrame:
+    """Locations of all rows with an address; scope marks the rows p1_found asks for. Every edition feeds the gazetteer."""
+    c, n, h = (table(spark, d, t) for t in ("ceeb_school", "nces_public", "ipeds_hd"))
+    newest = F.col("edition") == EDITION
+    rows = location_rows(c, "rec_id", "state_abbr", "city", "zip", "address", F.lit(True))
+    rows = rows.unionByName(location_rows(n, "rec_id", "state", "city", "zip", "street", newest))
+    return locations(rows.unionByName(location_rows(h, "rec_id", "stabbr", "city", "zip", "addr", newest)), cut)
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    found = cut(_locations(spark, d).where("scope"))
+    return same_location_pairs(found).select(F.col("a").alias("rec_a"), F.col("b").alias("rec_b"))
+
+
+def p1_places(spark: SparkSession, d: str) -> DataFrame:
+    """Location and unit of every row of every edition that states an address."""
+    return _locations(spark, d).select(F.col("id").alias("rec_id"), "location", "unit")
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encoded(table(spark, d, "documents"), "doc_id", "text", BYTE_BPE_50K)
 
@@ -73,16 +94,16 @@ def p10_texts(spark: SparkSession, d: str) -> DataFrame:
     return canonical_texts(table(spark, d, "documents"), "doc_id", "text")
 
 
-QUERIES = {"p2_found": p2_found, "p2_best": p2_best, "p8_ids": p8_ids, "p9_containers": p9_containers, "p10_found": p10_found, "p10_texts": p10_texts}
+QUERIES = {"p1_found": p1_found, "p1_places": p1_places, "p2_found": p2_found, "p2_best": p2_best, "p8_ids": p8_ids, "p9_containers": p9_containers, "p10_found": p10_found, "p10_texts": p10_texts}
 
 _STAND_INS = ", ".join(f"'{s}'" for s in STAND_INS)
 
 
 def _p2_sql(name: str, code: str, at: str) -> str:
     long = " UNION ALL ".join(
-        f"SELECT {code} AS code, '{f}' AS field, rec_id, {at} AS at, {f} AS v FROM {name}" for f in REGISTRY_FIELDS[name]
+        f"SELECT {code} AS code, '{f}' AS field, rec_id, {at} AS seen, {f} AS v FROM {name}" for f in REGISTRY_FIELDS[name]
     )
-    return f"""SELECT '{name}' AS registry, code, field, arg_max(rec_id, row(at, rec_id)) AS rec_id FROM ({long})
+    return f"""SELECT '{name}' AS registry, code, field, arg_max(rec_id, row(seen, rec_id)) AS rec_id FROM ({long})
   WHERE v IS NOT NULL AND lower(trim(v)) NOT IN ({_STAND_INS}) AND NOT (field = 'zip' AND trim(v) = '00000')
     AND code IN (SELECT {code} FROM {name} GROUP BY 1 HAVING count(*) >= 2)
   GROUP BY code, field"""
