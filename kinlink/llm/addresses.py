@@ -24,14 +24,15 @@ from kinlink.llm.streets import place_key, read_address
 def readings(rows: DataFrame) -> DataFrame:
     """(id, state, town, zip, number, direction, street, kind, unit, scope) of rows (id, state, city, zip, street, scope).
 
-    Rows that state no street address with a number, or neither a usable city nor zip, drop out.
-    Whole addresses are read, whatever their length.
+    Rows with neither a usable city nor zip drop out. number and the parts of the street are null
+    where a row states no street address with a number. Whole addresses are read, whatever their
+    length.
     """
     zip_code = zip5(F.col("zip"))
     city = F.when(usable(F.col("city"), STAND_INS), F.col("city"))
     # a zip of another form counts as usable, though it names no town
     zip_told = usable(F.col("zip"), [*STAND_INS, "00000"])
-    d = rows.where("id is not null and street is not null").where(zip_told | city.isNotNull())
+    d = rows.where("id is not null").where(zip_told | city.isNotNull())
     d = d.select("id", F.upper(F.trim(F.coalesce(F.col("state"), F.lit("")))).alias("state"), city.alias("city"), zip_code.alias("zip"), "street", "scope")
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -48,7 +49,7 @@ def readings(rows: DataFrame) -> DataFrame:
                 out.append(seen[key])
             parts = pd.DataFrame(out, columns=["town", "number", "direction", "street", "kind", "unit"])
             r = pd.concat([t[["id", "state", "zip", "scope"]].reset_index(drop=True), parts], axis=1)
-            yield r[r["number"].notna()]
+            yield r
 
     kind = dict(rows.dtypes)
     return d.mapInPandas(read, f"id {kind['id']}, state string, zip string, scope {kind['scope']}, town string, number string, direction string, street string, kind string, unit string")
@@ -143,34 +144,58 @@ def with_identifier(r: DataFrame) -> DataFrame:
     at one house number of one locality, however many rows have them.
     """
     keys = ["state", "place", "number"]
-    different = r.groupBy(*keys, "street", "direction", "kind", "zip").agg(F.count(F.lit(1)).alias("n"))
-
-    def search(g: pd.DataFrame) -> pd.DataFrame:
-        z = g["zip"].where(g["zip"].notna(), None)
-        rows = list(zip(g["street"], g["direction"], g["kind"], z, g["n"].astype(int)))
-        found = resolved(rows)
-        return g[[*keys, "street", "direction", "kind", "zip"]].assign(zip=z, entry=[found[x[:4]] for x in rows])
-
-    # where all readings of a number agree in what they state there is nothing to search
-    many = different.groupBy(*keys).agg(F.count_distinct("street", "direction", "kind").alias("m")).where("m > 1").select(*keys)
-    hard = different.join(many, keys).groupBy(*keys).applyInPandas(search, "state string, place string, number string, street string, direction string, kind string, zip string, entry string")
-    hard = hard.withColumn("zip", F.coalesce("zip", F.lit("")))
+    parts = ["street", "direction", "kind", "zip"]
+    r = r.withColumn("zip", F.coalesce("zip", F.lit("")))
+    different = r.groupBy(*keys, *parts).agg(F.count(F.lit(1)).alias("n"))
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # rows come sorted, so the readings at one house number lie together, be it over two batches
+        key, group, out = None, [], []
+
+        def close() -> None:
+            if len({x[:3] for x in group}) > 1:
+                for x, entry in resolved(group).items():
+                    if entry != "|".join(x[:3]):
+                        out.append((*key, *x, entry))
+
+        for t in batches:
+            for row in zip(*(t[c] for c in (*keys, *parts, "n"))):
+                if row[:3] != key:
+                    close()
+                    key, group = row[:3], []
+                group.append(row[3:])
+            if len(out) > 20_000:
+                yield pd.DataFrame(out, columns=[*keys, *parts, "entry"])
+                out.clear()
+        close()
+        yield pd.DataFrame(out, columns=[*keys, *parts, "entry"])
+
+    near = different.repartition(*keys).sortWithinPartitions(*keys, *parts)
+    filled = near.mapInPandas(search, "state string, place string, number string, street string, direction string, kind string, zip string, entry string")
+    d = r.join(filled, [*keys, *parts], "left")
     own = F.concat_ws("|", "street", "direction", "kind")
-    d = r.withColumn("zip", F.coalesce("zip", F.lit(""))).join(hard, [*keys, "street", "direction", "kind", "zip"], "left")
     return d.withColumn("entry", F.coalesce("entry", own))
 
 
-def locations(rows: DataFrame, cut) -> DataFrame:
-    """(id, location, unit, scope): the location of each row that states one.
+def placed(rows: DataFrame, cut) -> DataFrame:
+    """readings with place, of all rows that name one, whether or not they state a street address."""
+    return cut(with_locality(cut(readings(rows))))
+
+
+def located(r: DataFrame) -> DataFrame:
+    """(id, location, unit, scope) of placed's rows: the location of each that states one.
 
     location is a digest of state, town, house number and street identifier. All rows feed the
     gazetteer; scope is passed through.
     """
-    r = cut(with_locality(cut(readings(rows))))
-    d = with_identifier(with_street(r))
+    d = with_identifier(with_street(r.where("number is not null")))
     return d.select("id", F.xxhash64("state", "place", "number", "entry").alias("location"), "unit", "scope")
 
 
+def locations(rows: DataFrame, cut) -> DataFrame:
+    return located(placed(rows, cut))
+
+
 def same_location_pairs(found: DataFrame) -> DataFrame:
     """(a, b), a < b, of ids at one location: a join on the location."""
     k = found.select("id", "location").distinct()
