@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinlink.functions.values import STAND_INS, ZIP_STAND_INS, digit_code
-from kinlink.llm.addresses import location_rows, locations, same_location_pairs
+from kinlink.llm.addresses import located, location_rows, placed, same_location_pairs
 from kinlink.llm.lookalikes import canonical_texts, look_alike_pairs, look_keys
+from kinlink.llm.belief import one_to_one, same_entity
+from kinlink.llm.names import codes_together, name_pairs, with_places
 from kinlink.llm.packing import containers
 from kinlink.llm.survivors import duplicated, survivors, votes
 from kinlink.llm.tokens import BYTE_BPE_50K, encoded, token_counts
@@ -57,23 +59,101 @@ def p2_best(spark: SparkSession, d: str) -> DataFrame:
     return survivors(rows, fields).select("grp.code", *fields)
 
 
-def _locations(spark: SparkSession, d: str) -> DataFrame:
-    """Locations of all rows with an address; scope marks the rows p1_found asks for. Every edition feeds the gazetteer."""
+def _placed(spark: SparkSession, d: str) -> DataFrame:
+    """Readings and town of every row of the three registries; scope marks the rows p1_found asks for."""
     c, n, h = (table(spark, d, t) for t in ("ceeb_school", "nces_public", "ipeds_hd"))
     newest = F.col("edition") == EDITION
     rows = location_rows(c, "rec_id", "state_abbr", "city", "zip", "address", F.lit(True))
     rows = rows.unionByName(location_rows(n, "rec_id", "state", "city", "zip", "street", newest))
-    return locations(rows.unionByName(location_rows(h, "rec_id", "stabbr", "city", "zip", "addr", newest)), cut)
+    return placed(rows.unionByName(location_rows(h, "rec_id", "stabbr", "city", "zip", "addr", newest)), cut)
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    found = cut(_locations(spark, d).where("scope"))
+    found = cut(located(_placed(spark, d)).where("scope"))
     return same_location_pairs(found).select(F.col("a").alias("rec_a"), F.col("b").alias("rec_b"))
 
 
 def p1_places(spark: SparkSession, d: str) -> DataFrame:
     """Location and unit of every row of every edition that states an address."""
-    return _locations(spark, d).select(F.col("id").alias("rec_id"), "location", "unit")
+    return located(_placed(spark, d)).select(F.col("id").alias("rec_id"), "location", "unit")
+
+
+def _named_codes(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """(names, places) for codes_together: registry, code, state, place, name and registry, code, location."""
+    c, n, h = (table(spark, d, t) for t in ("ceeb_school", "nces_public", "ipeds_hd"))
+    both = F.explode(F.array("full_name", "name")).alias("name")
+    names = c.select(F.col("rec_id").alias("id"), F.lit("ceeb_school").alias("registry"), digit_code(F.col("ceeb"), 8).alias("code"), both)
+    names = names.unionByName(n.select(F.col("rec_id").alias("id"), F.lit("nces_public").alias("registry"), F.trim("ncessch").alias("code"), "name"))
+    names = names.unionByName(h.select(F.col("rec_id").alias("id"), F.lit("ipeds_hd").alias("registry"), F.col("unitid").cast("string").alias("code"), F.col("instnm").alias("name")))
+    r = _placed(spark, d)
+    code_of = names.select("id", "registry", "code").distinct()
+    places = code_of.join(located(r).select("id", "location"), "id").select("registry", "code", "location").distinct()
+    names = names.join(r.select("id", "state", "place"), "id").select("registry", "code", "state", "place", "name").distinct()
+    return cut(names), cut(places)
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    """Two codes of one registry for the same institution, by variants of its name in one town."""
+    names, places = _named_codes(spark, d)
+    # ipeds_hd's institutions and the schools meet in one call, but only pairs of one registry are asked for
+    apart = names.withColumn("state", F.concat_ws("/", "registry", "state"))
+    return codes_together(with_places(name_pairs(apart, cut), places))
+
+
+# The states' names as ceeb_university writes them, with their postal abbreviations.
+STATES = dict(x.split(":") for x in (
+    "Alabama:AL,Alaska:AK,Arizona:AZ,Arkansas:AR,California:CA,Colorado:CO,Connecticut:CT,Delaware:DE,District of Columbia:DC,Florida:FL,Georgia:GA,Hawaii:HI,"
+    "Idaho:ID,Illinois:IL,Indiana:IN,Iowa:IA,Kansas:KS,Kentucky:KY,Louisiana:LA,Maine:ME,Maryland:MD,Massachusetts:MA,Michigan:MI,Minnesota:MN,Mississippi:MS,"
+    "Missouri:MO,Montana:MT,Nebraska:NE,Nevada:NV,New Hampshire:NH,New Jersey:NJ,New Mexico:NM,New York:NY,North Carolina:NC,North Dakota:ND,Ohio:OH,Oklahoma:OK,"
+    "Oregon:OR,Pennsylvania:PA,Rhode Island:RI,South Carolina:SC,South Dakota:SD,Tennessee:TN,Texas:TX,Utah:UT,Vermont:VT,Virginia:VA,Washington:WA,"
+    "West Virginia:WV,Wisconsin:WI,Wyoming:WY").split(","))
+
+
+def p4_matches(spark: SparkSession, d: str) -> DataFrame:
+    """(code, match_id, confidence): marginal match probabilities of schools and colleges without a common key.
+
+    Evidence of a candidate pair as log odds: how well the names agree, whether the places do, and what
+    the publisher says. Codes of one institution within a registry are one node.
+    """
+    names, places = _named_codes(spark, d)
+    schools = names.where("registry != 'ipeds_hd'")
+    colleges = names.where("registry = 'ipeds_hd'")
+    pairs = cut(with_places(name_pairs(schools, cut), places))
+    of_colleges = with_places(name_pairs(colleges, cut), places)
+    node = cut(same_entity(codes_together(pairs).unionByName(codes_together(of_colleges)), cut))
+    told = table(spark, d, "ceeb_school").select(digit_code(F.col("ceeb"), 8).alias("a"), digit_code(F.col("nces"), 12).alias("b")).where("a is not null and b is not null").distinct()
+    named = pairs.where("registry_a = 'ceeb_school' and registry_b = 'nces_public'").select(F.col("code_a").alias("a"), F.col("code_b").alias("b"), "agree", "together")
+    told = told.join(names.where("registry = 'nces_public'").select(F.col("code").alias("b")).distinct(), "b", "left_semi")
+    k12 = named.join(told.withColumn("told", F.lit(True)), ["a", "b"], "full").join(told.select("a", F.lit(True).alias("has")).distinct(), "a", "left")
+    odds = 4.0 * F.coalesce("agree", F.lit(0.0)) - F.when(F.col("agree").isNull(), 2.0).otherwise(1.5)
+    odds = odds + F.when(F.col("together"), 3.0).when(~F.col("together"), -2.0).otherwise(0.0)
+    odds = odds + F.when(F.col("told"), 2.5).when(F.col("has"), -1.0).otherwise(0.0)
+    k12 = k12.select(F.lit("k12").alias("kind"), "a", "b", odds.alias("odds"))
+    states = F.create_map(*[F.lit(x) for kv in STATES.items() for x in kv])
+    u = table(spark, d, "ceeb_university")
+    u = u.select(F.lit("ceeb_university").alias("registry"), F.coalesce(digit_code(F.col("ceeb_code"), 7), F.trim("ceeb_code")).alias("code"), F.try_element_at(states, F.trim("state")).alias("state"), F.lit("").alias("place"), "name")
+    he = name_pairs(u.unionByName(colleges).where("state is not null"), cut, by_town=False)
+    he = he.where("registry_a = 'ceeb_university' and registry_b = 'ipeds_hd'").select(F.lit("he").alias("kind"), F.col("code_a").alias("a"), F.col("code_b").alias("b"), (6.0 * F.col("agree") - 3.0).alias("odds"))
+    of = lambda r, x: node.where(F.col("registry") == r).select(F.col("code").alias(x), F.col("entity").alias(f"{x}_entity"))
+    k12 = k12.join(of("ceeb_school", "a"), "a", "left").join(of("nces_public", "b"), "b", "left")
+    he = he.withColumn("a_entity", F.lit(None).cast("string")).join(of("ipeds_hd", "b"), "b", "left")
+    e = cut(k12.unionByName(he).withColumn("l", F.concat_ws("|", "kind", F.coalesce("a_entity", "a"))).withColumn("r", F.concat_ws("|", "kind", F.coalesce("b_entity", "b"))))
+    edges = e.groupBy("l", "r").agg(F.max("odds").alias("odds"))
+    won = one_to_one(edges, cut).where("p >= 0.5")
+    # every code of a matched node belongs to the match
+    left = e.select("l", "a").distinct().unionByName(_others(e, node, "ceeb_school", "l", "a")).distinct()
+    right = e.select("r", "b").distinct().unionByName(_others(e, node, "nces_public", "r", "b")).unionByName(_others(e, node, "ipeds_hd", "r", "b")).distinct()
+    return won.join(left, "l").join(right, "r").select(F.col("a").alias("code"), F.col("b").alias("match_id"), F.round("p", 6).alias("confidence"))
+
+
+def _others(e: DataFrame, node: DataFrame, registry: str, side: str, code: str) -> DataFrame:
+    """The codes of the nodes on one side that are in no candidate pair themselves."""
+    ent = e.where(F.col(f"{code}_entity").isNotNull() & (F.col("kind") == ("he" if registry == "ipeds_hd" else "k12"))).select(side, F.col(f"{code}_entity").alias("entity")).distinct()
+    return ent.join(node.where(F.col("registry") == registry).select("entity", F.col("code").alias(code)), "entity").select(side, code)
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return p4_matches(spark, d).select("code", "match_id").distinct()
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
@@ -94,7 +174,7 @@ def p10_texts(spark: SparkSession, d: str) -> DataFrame:
     return canonical_texts(table(spark, d, "documents"), "doc_id", "text")
 
 
-QUERIES = {"p1_found": p1_found, "p1_places": p1_places, "p2_found": p2_found, "p2_best": p2_best, "p8_ids": p8_ids, "p9_containers": p9_containers, "p10_found": p10_found, "p10_texts": p10_texts}
+QUERIES = {"p1_found": p1_found, "p1_places": p1_places, "p2_found": p2_found, "p2_best": p2_best, "p4_found": p4_found, "p4_matches": p4_matches, "p7_found": p7_found, "p8_ids": p8_ids, "p9_containers": p9_containers, "p10_found": p10_found, "p10_texts": p10_texts}
 
 _STAND_INS = ", ".join(f"'{s}'" for s in STAND_INS)
 
