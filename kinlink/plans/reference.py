@@ -1,4 +1,9 @@
-"""Queries of the record-linkage operators over the star-schema tables, each with its SQL."""
+"""All queries of the reference's own operators, with their SQL."""
 
-QUERIES: dict = {}
-SQL: dict = {}
+from __future__ import annotations
+
+from kinlink.plans import k12
+
+_PLANS = [k12]
+QUERIES = {k: f for p in _PLANS for k, f in p.QUERIES.items()}
+SQL = {k: q for p in _PLANS for k, q in p.SQL.items()}
