@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from kinlink.plans import k12
+from kinlink.plans import he, k12, star
 
-_PLANS = [k12]
+_PLANS = [star, k12, he]
 QUERIES = {k: f for p in _PLANS for k, f in p.QUERIES.items()}
 SQL = {k: q for p in _PLANS for k, q in p.SQL.items()}
