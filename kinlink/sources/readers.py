@@ -50,7 +50,8 @@ HITS = "hits struct<hits: array<struct<_source: struct<{fields}>>>>"
 def json_hits(spark: SparkSession, path: str, fields: str) -> DataFrame:
     """Search responses (arrays of objects with hits.hits._source) as a row per hit, and state from the file's name."""
     d = spark.read.option("multiLine", True).schema(HITS.format(fields=fields)).json(path)
-    state = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.[^.]*)?$", 1)
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    state = F.regexp_extract(name, r"^(.*?)(\.[^.]*)?$", 1)
     return d.select(F.explode("hits.hits").alias("hit"), F.replace(state, F.lit("%20"), F.lit(" ")).alias("state")).select("hit._source.*", "state")
 
 
@@ -232,7 +233,7 @@ def pdf_text(data: bytes, skip_pages: int = 1) -> str:
             except zlib.error:
                 continue
         lines, line = [], ""
-        for op in re.finditer(rb"\((?:\\.|[^\\()])*\)|\bT[*dDm]\b|\bTJ\b|\bTj\b|\bET\b|'", body, re.S):
+        for op in re.finditer(rb"\((?:\\.|[^\\()])*\)|\bT[*dDm](?!\w)|\bTJ\b|\bTj\b|\bET\b|'", body, re.S):
             x = op.group()
             if x[:1] == b"(":
                 line += re.sub(r"\\(.)", r"\1", x[1:-1].decode("cp1252", "replace"))
