@@ -12,53 +12,45 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinlink.functions.values import STAND_INS, usable, zip5
+from kinlink.functions.values import STAND_INS, ZIP_STAND_INS, usable, zip5
 from kinlink.llm.spelling import heads
-from kinlink.llm.streets import place_key, read_address
+from kinlink.llm.streets import address_fields
 
 
 def readings(rows: DataFrame) -> DataFrame:
-    """(id, state, town, zip, number, direction, street, kind, unit, scope) of rows (id, state, city, zip, street, scope).
+    """rows with state, zip and town tidied, and number, direction, street, kind, unit read from the street.
 
+    rows: state, city, zip, street and any others, which stay.
     Rows with neither a usable city nor zip drop out. number and the parts of the street are null
     where a row states no street address with a number. Whole addresses are read, whatever their
-    length.
+    length; only streets and cities go to Python.
     """
     zip_code = zip5(F.col("zip"))
     city = F.when(usable(F.col("city"), STAND_INS), F.col("city"))
     # a zip of another form counts as usable, though it names no town
-    zip_told = usable(F.col("zip"), [*STAND_INS, "00000"])
-    d = rows.where("id is not null").where(zip_told | city.isNotNull())
-    d = d.select("id", F.upper(F.trim(F.coalesce(F.col("state"), F.lit("")))).alias("state"), city.alias("city"), zip_code.alias("zip"), "street", "scope")
+    zip_told = usable(F.col("zip"), ZIP_STAND_INS)
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: dict = {}
-        for t in batches:
-            out = []
-            for street, city in zip(t["street"], t["city"]):
-                key = (street, city)
-                if key not in seen:
-                    if len(seen) >= 200_000:
-                        seen.clear()
-                    a = read_address(street, city)
-                    seen[key] = (place_key(city), *(a if a and a.number else (None,) * 5))
-                out.append(seen[key])
-            parts = pd.DataFrame(out, columns=["town", "number", "direction", "street", "kind", "unit"])
-            r = pd.concat([t[["id", "state", "zip", "scope"]].reset_index(drop=True), parts], axis=1)
-            yield r
-
-    kind = dict(rows.dtypes)
-    return d.mapInPandas(read, f"id {kind['id']}, state string, zip string, scope {kind['scope']}, town string, number string, direction string, street string, kind string, unit string")
+    parts = ["town", "number", "direction", "street", "kind", "unit"]
+
+    @F.arrow_udf(f"struct<{','.join(f'{x}:string' for x in parts)}>")
+    def read(streets: pa.Array, cities: pa.Array) -> pa.Array:
+        columns = zip(*map(address_fields, streets.to_pylist(), cities.to_pylist())) if len(streets) else [[]] * len(parts)
+        return pa.StructArray.from_arrays([pa.array(c, pa.string()) for c in columns], parts)
+
+    d = rows.where(zip_told | city.isNotNull())
+    d = d.withColumns({"state": F.upper(F.trim(F.coalesce(F.col("state"), F.lit("")))), "city": city, "zip": zip_code})
+    d = d.withColumn("_a", read("street", "city")).drop("street", "city")
+    return d.select("*", "_a.*").drop("_a")
 
 
 def with_locality(r: DataFrame) -> DataFrame:
     """readings with place, the town every row is in: that stated by most rows of its zip; without
     a zip of known town the stated one, misspellings put right against the state's towns."""
-    named = r.where("town != ''").groupBy("state", "zip", "town").agg(F.count(F.lit(1)).alias("n"))
+    named = r.where("town != ''").groupBy("state", "zip", "town").agg(F.sum("n").alias("n"))
     of_zip = named.where("zip is not null").groupBy("state", "zip").agg(F.max_by("town", F.struct("n", "town")).alias("zip_town"))
     towns = named.groupBy("state", "town").agg(F.sum("n").alias("n")).withColumnRenamed("town", "word")
     right = heads(towns, "state").groupBy("state", F.col("word").alias("town")).agg(F.max_by("head", F.struct("n", "head")).alias("right_town"))
@@ -73,7 +65,7 @@ def with_street(r: DataFrame) -> DataFrame:
     Candidates are spellings one edit away and several times as frequent in the whole corpus; one
     present in the same locality goes before all others, then the more frequent.
     """
-    entries = r.groupBy("state", "place", "street").agg(F.count(F.lit(1)).alias("n"))
+    entries = r.groupBy("state", "place", "street").agg(F.sum("n").alias("n"))
     words = entries.groupBy(F.col("street").alias("word")).agg(F.sum("n").alias("n")).withColumn("all", F.lit(0))
     near = heads(words, "all").select(F.col("word").alias("street"), "head", F.col("n").alias("hn"))
     here = entries.select("state", "place", F.col("street").alias("head"), F.lit(1).alias("here"))
@@ -146,9 +138,9 @@ def with_identifier(r: DataFrame) -> DataFrame:
     keys = ["state", "place", "number"]
     parts = ["street", "direction", "kind", "zip"]
     r = r.withColumn("zip", F.coalesce("zip", F.lit("")))
-    different = r.groupBy(*keys, *parts).agg(F.count(F.lit(1)).alias("n"))
+    different = r.groupBy(*keys, *parts).agg(F.sum("n").alias("n"))
 
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # rows come sorted, so the readings at one house number lie together, be it over two batches
         key, group, out = None, [], []
 
@@ -158,42 +150,53 @@ def with_identifier(r: DataFrame) -> DataFrame:
                     if entry != "|".join(x[:3]):
                         out.append((*key, *x, entry))
 
+        def batch() -> pa.RecordBatch:
+            columns = list(zip(*out)) if out else [()] * 8
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], [*keys, *parts, "entry"])
+
         for t in batches:
-            for row in zip(*(t[c] for c in (*keys, *parts, "n"))):
+            for row in zip(*(t.column(k).to_pylist() for k in range(8))):
                 if row[:3] != key:
                     close()
                     key, group = row[:3], []
                 group.append(row[3:])
             if len(out) > 20_000:
-                yield pd.DataFrame(out, columns=[*keys, *parts, "entry"])
+                yield batch()
                 out.clear()
         close()
-        yield pd.DataFrame(out, columns=[*keys, *parts, "entry"])
+        yield batch()
 
     near = different.repartition(*keys).sortWithinPartitions(*keys, *parts)
-    filled = near.mapInPandas(search, "state string, place string, number string, street string, direction string, kind string, zip string, entry string")
+    filled = near.select(*keys, *parts, "n").mapInArrow(search, "state string, place string, number string, street string, direction string, kind string, zip string, entry string")
     d = r.join(filled, [*keys, *parts], "left")
     own = F.concat_ws("|", "street", "direction", "kind")
     return d.withColumn("entry", F.coalesce("entry", own))
 
 
-def placed(rows: DataFrame, cut) -> DataFrame:
-    """readings with place, of all rows that name one, whether or not they state a street address."""
-    return cut(with_locality(cut(readings(rows))))
+ADDRESS = ("state", "city", "zip", "street")
+READING = ("state", "zip", "town", "number", "direction", "street", "kind")
 
 
-def located(r: DataFrame) -> DataFrame:
-    """(id, location, unit, scope) of placed's rows: the location of each that states one.
+def read_rows(rows: DataFrame) -> DataFrame:
+    """readings of rows (ADDRESS and others) with reading, a digest of all that was read: what differs only in
+    case, abbreviation or the last digits of its zip has the same. Units don't count."""
+    told = [F.coalesce(F.concat(F.lit("+"), F.col(c)), F.lit("-")) for c in READING]
+    return readings(rows).drop("unit").withColumn("reading", F.xxhash64(*told))
 
-    location is a digest of state, town, house number and street identifier. All rows feed the
-    gazetteer; scope is passed through.
-    """
-    d = with_identifier(with_street(r.where("number is not null")))
-    return d.select("id", F.xxhash64("state", "place", "number", "entry").alias("location"), "unit", "scope")
 
+def gazetteer(read: DataFrame, cut) -> DataFrame:
+    """(reading, state, place, location) of every different reading of read_rows' rows.
 
-def locations(rows: DataFrame, cut) -> DataFrame:
-    return located(placed(rows, cut))
+    Rows that were read the same are made one with their number first, as registries repeat themselves from
+    edition to edition. location is a digest of state, town, house number and street identifier, null
+    where no street address with a number is stated.
+    """
+    d = read.groupBy("reading", *READING).agg(F.count(F.lit(1)).alias("n"))
+    r = cut(with_locality(d))
+    told = with_identifier(with_street(r.where("number is not null"))).withColumn("location", F.xxhash64("state", "place", "number", "entry"))
+    silent = r.where("number is null").withColumn("location", F.lit(None).cast("bigint"))
+    columns = ["reading", "state", "place", "location"]
+    return cut(told.select(*columns).unionByName(silent.select(*columns)))
 
 
 def same_location_pairs(found: DataFrame) -> DataFrame:
@@ -203,5 +206,6 @@ def same_location_pairs(found: DataFrame) -> DataFrame:
     return a.join(b, "location").where("a < b").select("a", "b")
 
 
-def location_rows(df: DataFrame, id_col: str, state: str, city: str, zip_col: str, street: str, scope: Column) -> DataFrame:
-    return df.select(F.col(id_col).alias("id"), F.col(state).alias("state"), F.col(city).alias("city"), F.col(zip_col).alias("zip"), F.col(street).alias("street"), scope.alias("scope"))
+def stating(df: DataFrame, state: str, city: str, zip_col: str, street: str, **others: Column) -> DataFrame:
+    """df's addresses under common names, with other columns."""
+    return df.select(*[F.col(x).cast("string").alias(y) for x, y in zip((state, city, zip_col, street), ADDRESS)], *[c.alias(k) for k, c in others.items()])

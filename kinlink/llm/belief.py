@@ -25,7 +25,7 @@ def sigmoid(c: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-F.greatest(F.least(c, F.lit(500.0)), F.lit(-500.0))))
 
 
-def one_to_one(edges: DataFrame, cut, rounds: int = 30, eps: float = 1e-2, damping: float = 0.2) -> DataFrame:
+def one_to_one(edges: DataFrame, cut, rounds: int = 30, eps: float = 0.05, damping: float = 0.0) -> DataFrame:
     """(l, r, p): the marginal probability of each candidate pair (l, r, odds).
 
     odds are the log odds of the pair by its own evidence. Each node on either side takes part in one

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinlink.functions.values import STAND_INS, ZIP_STAND_INS, digit_code
-from kinlink.llm.addresses import located, location_rows, placed, same_location_pairs
+from kinlink.functions.values import STAND_INS, ZIP_STAND_INS, digit_code, zip5
+from kinlink.llm.addresses import gazetteer, read_rows, same_location_pairs, stating
 from kinlink.llm.lookalikes import canonical_texts, look_alike_pairs, look_keys
 from kinlink.llm.belief import one_to_one, same_entity
-from kinlink.llm.names import codes_together, name_pairs, with_places
+from kinlink.llm.names import codes_together, name_pairs, with_name, with_places
 from kinlink.llm.packing import containers
 from kinlink.llm.survivors import duplicated, survivors, votes
 from kinlink.llm.tokens import BYTE_BPE_50K, encoded, token_counts
@@ -59,36 +59,40 @@ def p2_best(spark: SparkSession, d: str) -> DataFrame:
     return survivors(rows, fields).select("grp.code", *fields)
 
 
-def _placed(spark: SparkSession, d: str) -> DataFrame:
-    """Readings and town of every row of the three registries; scope marks the rows p1_found asks for."""
+def _stated(spark: SparkSession, d: str) -> DataFrame:
+    """Every row of the three registries: address, rec, registry, code, names; scope marks the rows p1_found asks for."""
     c, n, h = (table(spark, d, t) for t in ("ceeb_school", "nces_public", "ipeds_hd"))
-    newest = F.col("edition") == EDITION
-    rows = location_rows(c, "rec_id", "state_abbr", "city", "zip", "address", F.lit(True))
-    rows = rows.unionByName(location_rows(n, "rec_id", "state", "city", "zip", "street", newest))
-    return placed(rows.unionByName(location_rows(h, "rec_id", "stabbr", "city", "zip", "addr", newest)), cut)
+    newest, rec = F.coalesce(F.col("edition") == EDITION, F.lit(False)), F.col("rec_id")
+    rows = stating(c, "state_abbr", "city", "zip", "address", rec=rec, registry=F.lit("ceeb_school"), code=digit_code(F.col("ceeb"), 8), names=F.array("full_name", "name"), scope=F.lit(True))
+    rows = rows.unionByName(stating(n, "state", "city", "zip", "street", rec=rec, registry=F.lit("nces_public"), code=F.trim("ncessch"), names=F.array("name"), scope=newest))
+    return rows.unionByName(stating(h, "stabbr", "city", "zip", "addr", rec=rec, registry=F.lit("ipeds_hd"), code=F.col("unitid").cast("string"), names=F.array("instnm"), scope=newest))
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    found = cut(located(_placed(spark, d)).where("scope"))
+    read = cut(read_rows(_stated(spark, d).drop("registry", "code", "names")))
+    known = gazetteer(read, cut).where("location is not null").select("reading", "location")
+    found = cut(read.where("scope and rec is not null").select(F.col("rec").alias("id"), "reading").join(known, "reading").select("id", "location"))
     return same_location_pairs(found).select(F.col("a").alias("rec_a"), F.col("b").alias("rec_b"))
 
 
 def p1_places(spark: SparkSession, d: str) -> DataFrame:
-    """Location and unit of every row of every edition that states an address."""
-    return located(_placed(spark, d)).select(F.col("id").alias("rec_id"), "location", "unit")
+    """Location of every row of every edition that states an address."""
+    read = cut(read_rows(_stated(spark, d).drop("registry", "code", "names", "scope")))
+    known = gazetteer(read, cut).where("location is not null").select("reading", "location")
+    return read.select(F.col("rec").alias("rec_id"), "reading").join(known, "reading").select("rec_id", "location")
 
 
 def _named_codes(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """(names, places) for codes_together: registry, code, state, place, name and registry, code, location."""
-    c, n, h = (table(spark, d, t) for t in ("ceeb_school", "nces_public", "ipeds_hd"))
-    both = F.explode(F.array("full_name", "name")).alias("name")
-    names = c.select(F.col("rec_id").alias("id"), F.lit("ceeb_school").alias("registry"), digit_code(F.col("ceeb"), 8).alias("code"), both)
-    names = names.unionByName(n.select(F.col("rec_id").alias("id"), F.lit("nces_public").alias("registry"), F.trim("ncessch").alias("code"), "name"))
-    names = names.unionByName(h.select(F.col("rec_id").alias("id"), F.lit("ipeds_hd").alias("registry"), F.col("unitid").cast("string").alias("code"), F.col("instnm").alias("name")))
-    r = _placed(spark, d)
-    code_of = names.select("id", "registry", "code").distinct()
-    places = code_of.join(located(r).select("id", "location"), "id").select("registry", "code", "location").distinct()
-    names = names.join(r.select("id", "state", "place"), "id").select("registry", "code", "state", "place", "name").distinct()
+    """(names, places) for name_pairs and with_places: registry, code, state, place and the parts of the name; registry, code, location."""
+    # one row for each different statement about a code, as most editions repeat the last; nothing that is read
+    # depends on case or the last digits of a zip
+    rows = _stated(spark, d).where("code is not null").withColumns({"city": F.lower("city"), "street": F.lower("street"), "zip": zip5(F.col("zip"))})
+    rows = rows.withColumn("name", F.explode("names")).withColumn("name", F.lower("name")).drop("rec", "scope", "names").distinct()
+    read = cut(read_rows(rows))
+    known = gazetteer(read, cut)
+    r = cut(read.select("registry", "code", "name", "reading").join(known, "reading"))
+    names = with_name(r.where("name is not null").select("registry", "code", "state", "place", "name").distinct(), "name").drop("name")
+    places = r.where("location is not null").select("registry", "code", "location").distinct()
     return cut(names), cut(places)
 
 
@@ -116,11 +120,11 @@ def p4_matches(spark: SparkSession, d: str) -> DataFrame:
     the publisher says. Codes of one institution within a registry are one node.
     """
     names, places = _named_codes(spark, d)
-    schools = names.where("registry != 'ipeds_hd'")
     colleges = names.where("registry = 'ipeds_hd'")
-    pairs = cut(with_places(name_pairs(schools, cut), places))
-    of_colleges = with_places(name_pairs(colleges, cut), places)
-    node = cut(same_entity(codes_together(pairs).unionByName(codes_together(of_colleges)), cut))
+    # schools meet schools and colleges meet colleges, in one call
+    apart = names.withColumn("state", F.when(F.col("registry") == "ipeds_hd", F.concat(F.lit("u/"), "state")).otherwise(F.col("state")))
+    pairs = cut(with_places(name_pairs(apart, cut), places))
+    node = same_entity(codes_together(pairs), cut)
     told = table(spark, d, "ceeb_school").select(digit_code(F.col("ceeb"), 8).alias("a"), digit_code(F.col("nces"), 12).alias("b")).where("a is not null and b is not null").distinct()
     named = pairs.where("registry_a = 'ceeb_school' and registry_b = 'nces_public'").select(F.col("code_a").alias("a"), F.col("code_b").alias("b"), "agree", "together")
     told = told.join(names.where("registry = 'nces_public'").select(F.col("code").alias("b")).distinct(), "b", "left_semi")
@@ -132,7 +136,7 @@ def p4_matches(spark: SparkSession, d: str) -> DataFrame:
     states = F.create_map(*[F.lit(x) for kv in STATES.items() for x in kv])
     u = table(spark, d, "ceeb_university")
     u = u.select(F.lit("ceeb_university").alias("registry"), F.coalesce(digit_code(F.col("ceeb_code"), 7), F.trim("ceeb_code")).alias("code"), F.try_element_at(states, F.trim("state")).alias("state"), F.lit("").alias("place"), "name")
-    he = name_pairs(u.unionByName(colleges).where("state is not null"), cut, by_town=False)
+    he = name_pairs(with_name(u, "name").drop("name").unionByName(colleges.withColumn("place", F.lit("")).distinct()).where("state is not null"), cut, by_town=False)
     he = he.where("registry_a = 'ceeb_university' and registry_b = 'ipeds_hd'").select(F.lit("he").alias("kind"), F.col("code_a").alias("a"), F.col("code_b").alias("b"), (6.0 * F.col("agree") - 3.0).alias("odds"))
     of = lambda r, x: node.where(F.col("registry") == r).select(F.col("code").alias(x), F.col("entity").alias(f"{x}_entity"))
     k12 = k12.join(of("ceeb_school", "a"), "a", "left").join(of("nces_public", "b"), "b", "left")

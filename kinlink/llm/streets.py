@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 from typing import NamedTuple
 
 from kinlink.functions.values import STAND_INS
@@ -32,6 +33,9 @@ _CARE = re.compile(r"^\s*(?:attn\b\.?:?|attention\b:?|c\s*/\s*o\b)")
 _DESK = re.compile(r"^.*?\b(?:office|registrar|admissions|principal|department|dept)\b\.?")
 _DOTTED = re.compile(r"\b([nsew])\.\s?([nsew])\b\.?")
 _NUMBER = re.compile(r"\d+[a-z]?")
+# most addresses are a number and plain words, none of which needs a closer look
+_PLAIN = re.compile(r"\s*(\d+),?\s+([a-z ]+?)\.?\s*")
+_NOT_PLAIN = frozenset(f"{UNITS} box po post attn attention care no".split())
 
 
 class Address(NamedTuple):
@@ -46,6 +50,7 @@ def words_of(s: str) -> list[str]:
     return re.findall(r"[a-z]+|\d+(?:st|nd|rd|th)\b|\d+[a-z]?(?![a-z])|\d+|#", s.replace("'", ""))
 
 
+@lru_cache(maxsize=50_000)
 def place_key(s: str | None) -> str:
     """A place's name with directions and prefixes written out, as letters only."""
     if not s:
@@ -63,7 +68,12 @@ def read_address(street: str | None, place: str | None = None) -> Address | None
     """
     if not street or street.strip().lower() in STAND_INS:
         return None
-    s = _DOTTED.sub(r"\1\2 ", street.lower().replace('"', " "))
+    s = street.lower()
+    if m := _PLAIN.fullmatch(s):
+        w = m.group(2).split()
+        if _NOT_PLAIN.isdisjoint(w):
+            return _street(m.group(1), w, "")
+    s = _DOTTED.sub(r"\1\2 ", s.replace('"', " "))
     s = _BOX.sub(" ", s)
     unit = ""
     for m in _UNIT.finditer(s):
@@ -105,6 +115,10 @@ def read_address(street: str | None, place: str | None = None) -> Address | None
     w = [x for x in w if x != "#"]
     if not w:
         return None
+    return _street(number, w, unit)
+
+
+def _street(number: str, w: list[str], unit: str) -> Address | None:
     # highways: "state hwy 16", "highway 16", "16 state highway"
     at = next((i for i, x in enumerate(w) if _TYPE.get(x) == "highway"), None)
     if at is not None:
@@ -125,3 +139,13 @@ def read_address(street: str | None, place: str | None = None) -> Address | None
     if not re.search(r"[a-z]", name) or name in ("na", "none", "null", "tbd", "unknown", "xxx", "notonfile", "notavailable", "blank", "box"):
         return None
     return Address(number.lstrip("0"), direction, name, kind, unit)
+
+
+@lru_cache(maxsize=100_000)
+def address_fields(street: str | None, city: str | None) -> tuple[str | None, ...]:
+    """(town, number, direction, street, kind, unit); all but the town null where no number is stated.
+
+    Registries repeat addresses from edition to edition, so a worker keeps the latest it has read.
+    """
+    a = read_address(street, city)
+    return (place_key(city), *(a if a and a.number else (None,) * 5))
