@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kinlink.session import cut
+
 # What stands for an absent value in these files, and the field all of them have.
 ABSENT = ["", ".", "-2"]
 KEY_FIELD = "unitid"
@@ -91,10 +93,11 @@ def kind_of(value: Column) -> Column:
 
 
 def content_key(value: Column) -> Column:
-    """What a value says whatever its form: the size of its number if it is one, else its letters and digits."""
+    """What a value says whatever its form: the digits of its number if it is one (without sign, point and
+    zeros at the ends, as degrees are also stored in millionths), else its letters and digits."""
     plain = F.lower(F.trim(value))
     number = F.regexp_extract(F.replace(plain, F.lit(","), F.lit(".")), r"^[a-z]{0,2}\s*[+-]?\s*(\d+(?:\.\d+)?)\s*°?\s*[a-z]{0,2}$", 1)
-    as_number = F.when(F.length(number) > 0, F.round(number.try_cast("double"), 6).cast("string"))
+    as_number = F.when(F.length(number) > 0, F.regexp_replace(F.replace(number, F.lit("."), F.lit("")), r"^0+|0+$", ""))
     return F.coalesce(as_number, F.regexp_replace(plain, r"[^\p{L}\p{N}]+", ""))
 
 
@@ -183,14 +186,15 @@ def drift(files: DataFrame, cells: DataFrame) -> DataFrame:
     prev = per_file.select("series", (F.col("nth") + 1).alias("nth"), F.col("fields").alias("old"))
     pairs = per_file.withColumnRenamed("fields", "new").join(prev, ["series", "nth"])
     names = lambda c: F.transform(c, lambda f: f["name"])
-    pairs = pairs.withColumn("gone", F.array_except(names("old"), names("new"))).withColumn("come", F.array_except(names("new"), names("old")))
+    pairs = cut(pairs).withColumn("gone", F.array_except(names("old"), names("new"))).withColumn("come", F.array_except(names("new"), names("old")))
     both = pairs.where((F.size("gone") > 0) & (F.size("come") > 0))
-    v = cells.where("value is not null and unit is not null").select("series", "nth", "unit", "field", content_key(F.col("value")).alias("value"))
-    v = v.groupBy("series", "nth", "unit", "field").agg(F.max("value").alias("value"))
-    gone = both.select("series", "nth", F.explode("gone").alias("field"))
-    come = both.select("series", "nth", F.explode("come").alias("field"))
-    o = v.withColumn("nth", F.col("nth") + 1).join(gone, ["series", "nth", "field"]).select("series", "nth", "unit", F.col("field").alias("x"), F.col("value").alias("xv"))
-    w = v.join(come, ["series", "nth", "field"]).select("series", "nth", "unit", F.col("field").alias("y"), F.col("value").alias("yv"))
+    # only the cells of fields that went or came are compared; each cell is looked up once
+    gone = both.select("series", (F.col("nth") - 1).alias("nth"), F.col("nth").alias("pair"), F.lit("x").alias("side"), F.explode("gone").alias("field"))
+    come = both.select("series", "nth", F.col("nth").alias("pair"), F.lit("y").alias("side"), F.explode("come").alias("field"))
+    v = cells.where("value is not null and unit is not null").join(gone.unionByName(come), ["series", "nth", "field"])
+    v = cut(v.groupBy("series", "pair", "side", "unit", "field").agg(F.max(content_key(F.col("value"))).alias("value")))
+    of = lambda x: v.where(F.col("side") == x).select("series", F.col("pair").alias("nth"), "unit", F.col("field").alias(x), F.col("value").alias(f"{x}v"))
+    o, w = of("x"), of("y")
     counts = o.join(w, ["series", "nth", "unit"]).groupBy("series", "nth", "x", "y").agg(F.count(F.lit(1)).alias("both"), F.count_if(F.col("xv") == F.col("yv")).alias("same"))
     counts = counts.groupBy("series", "nth").agg(F.collect_list(F.struct("x", "y", "both", "same")).alias("shared"))
     todo = both.select("series", "nth", "old", "new").join(counts, ["series", "nth"], "left")
@@ -203,7 +207,7 @@ def drift(files: DataFrame, cells: DataFrame) -> DataFrame:
                 rows += [(s, n, x, y) for x, y in correspondences(list(old), list(new), seen)]
             yield pd.DataFrame(rows, columns=["series", "nth", "old_field", "field"]).astype({"nth": "int32"})
 
-    renamed = todo.mapInPandas(match, "series string, nth int, old_field string, field string")
+    renamed = cut(todo).mapInPandas(match, "series string, nth int, old_field string, field string")
     now = pairs.select("series", "nth", F.explode("new").alias("f")).select("series", "nth", F.col("f.name").alias("field"), F.col("f.kind").alias("kind"))
     was = pairs.select("series", "nth", F.explode("old").alias("f")).select("series", "nth", F.col("f.name").alias("link"), F.col("f.name").alias("old_field"), F.col("f.kind").alias("old_kind"))
     now = now.join(renamed, ["series", "nth", "field"], "left").select("series", "nth", "field", "kind", F.coalesce("old_field", "field").alias("link"))
@@ -216,13 +220,13 @@ def drift(files: DataFrame, cells: DataFrame) -> DataFrame:
 
 def changes(lines: DataFrame) -> DataFrame:
     """(file_name, field, what): what of added, removed, renamed, type; see drift and parsed."""
-    files, cells = parsed(lines)
+    files, cells = map(cut, parsed(lines))
     d = drift(files, cells).where("what != 'kept'")
     name = files.select("series", "nth", "file_name")
     return d.join(name, ["series", "nth"]).select("file_name", F.coalesce("field", "old_field").alias("field"), "what").distinct()
 
 
-def one_table(lines: DataFrame, wanted: dict[str, str], max_files: int = 200) -> DataFrame:
+def one_table(lines: DataFrame, wanted: dict[str, str]) -> DataFrame:
     """All data lines under consistent fields, whatever each file called them.
 
     wanted: field -> type, where a field is named as by the first file of a series that has
@@ -231,8 +235,8 @@ def one_table(lines: DataFrame, wanted: dict[str, str], max_files: int = 200) ->
     are tidied (decimal commas, letters around numbers) and cast; what can't be cast is null.
     Columns: series, file_name, edition, line_no, unitid and wanted.
     """
-    files, cells = parsed(lines)
-    links = drift(files, cells).where("what in ('kept', 'renamed', 'added')")
+    files, cells = map(cut, parsed(lines))
+    links = cut(drift(files, cells)).where("what in ('kept', 'renamed', 'added')")
     per_series = links.groupBy("series").agg(F.sort_array(F.collect_list(F.struct("nth", "field", "old_field"))).alias("links"))
     first = files.where("nth = 1").select("series", "names")
 
