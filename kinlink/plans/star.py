@@ -12,6 +12,7 @@ from kinlink.operators.consolidate import earliest_non_null, latest_non_null
 from kinlink.operators.pairing import potential_duplicates, two_rounds
 from kinlink.operators.relational import distinct_count_over, each_column, narrowed, qualify_unique, survivorship, top_k, union_by_name, unpivoted
 from kinlink.session import cut, table
+from kinlink.sources.feeds import layer_table
 from kinlink.sources.readers import html_tables
 
 
@@ -166,7 +167,7 @@ def similar_names(spark: SparkSession, d: str) -> DataFrame:
 
 def county_table(spark: SparkSession, d: str) -> DataFrame:
     g = table(spark, d, "geography_county")
-    return g.select(F.col("geoid").alias("fips"), F.col("statefp").alias("state_fips"), "name", "namelsad", F.col("intptlat").cast("double").alias("latitude"), F.col("intptlon").cast("double").alias("longitude"), "edition")
+    return layer_table(g, "county").drop("geom")
 
 
 def code_list(spark: SparkSession, d: str) -> DataFrame:
@@ -223,6 +224,6 @@ SQL = {
     "one_to_one_rounds": f"WITH {_PARTIES}, {_ONE.format(k=1, l='c', r='s', p='city')}, c1 AS (SELECT * FROM c ANTI JOIN g1 USING (name, city)), s1 AS (SELECT * FROM s ANTI JOIN g1 USING (name, city)), {_ONE.format(k=2, l='c1', r='s1', p='state')} SELECT c_id, s_id, '1) name, city' AS strength FROM g1 UNION ALL SELECT c_id, s_id, '2) name, state' FROM g2",
     "likely_duplicates": f"WITH {_PARTIES}, known AS (SELECT c_id, s_id FROM c JOIN s ON c.name = s.name AND c.state = s.state QUALIFY count(*) OVER (PARTITION BY c.name, c.state) = 1), cc AS (SELECT * FROM c ANTI JOIN known USING (c_id)), ss AS (SELECT * FROM s ANTI JOIN known USING (s_id)), d1 AS (SELECT c_id, s_id FROM cc JOIN ss USING (name, city)), d2 AS (SELECT c_id, s_id FROM (SELECT * FROM cc ANTI JOIN d1 USING (c_id)) JOIN ss USING (name)) SELECT c_id, s_id, '(potential duplicates) name, city' AS strength FROM d1 UNION ALL SELECT c_id, s_id, '(potential duplicates) name' FROM d2",
     "html_rows": "SELECT n_regionkey, CAST(n_nationkey AS VARCHAR) AS id, n_name AS name FROM nation",
-    "county_table": "SELECT geoid AS fips, statefp AS state_fips, name, namelsad, CAST(intptlat AS DOUBLE) AS latitude, CAST(intptlon AS DOUBLE) AS longitude, edition FROM geography_county",
+    "county_table": "SELECT statefp AS state_fips, countyfp AS county_fips, geoid AS fips, namelsad AS county_name, name AS county_name_short, CAST(intptlat AS DOUBLE) AS center_latitude, CAST(intptlon AS DOUBLE) AS center_longitude, edition FROM geography_county",
     "code_list": "SELECT DISTINCT ceeb FROM ceeb_school ANTI JOIN (SELECT ceeb_code AS ceeb FROM ncaa_school) USING (ceeb)",
 }

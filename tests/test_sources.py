@@ -132,3 +132,23 @@ def test_streamed_editions(spark, tmp_path):
     spark.createDataFrame([(5, 2023), (2, 2024)], "v int, edition int").write.mode("append").parquet(src)
     append_editions(s(), out, ["edition"], chk).awaitTermination()
     assert sorted(r.v for r in spark.read.parquet(out).collect()) == [1, 2]
+
+
+def test_feeds(spark, tmp_path):
+    from kinlink.sources import feeds
+
+    assert feeds.ipeds_feed("HD", 2022).file == "hd2022.zip" and feeds.ipeds_feed("hd", 2023, "_x").base == "HD2023_X"
+    assert feeds.tiger_feed("Unsd", 2023, 1).url.endswith("/TIGER2023/UNSD/tl_2023_01_unsd.zip")
+    assert feeds.edge_feed("public", 2023).file == "EDGE_GEOCODE_PUBLICSCH_2324.zip" and feeds.edge_feed("Private", 2009).base.endswith("_0910")
+    with pytest.raises(ValueError):
+        feeds.edge_feed("other", 2023)
+    assert feeds.state_codes(["tl_2023_06_unsd.zip", "tl_2023_01_unsd.zip", "x"]) == ["01", "06"]
+    (tmp_path / "hd2011.csv").write_text("unitid,name\n01, a \n")
+    assert feeds.hd_editions(spark, [str(tmp_path / "hd2011.csv")]).first().name == "a"
+    d = feeds.edge_edition(spark.createDataFrame([("M", 1), ("x", 2)], "cnty string, v int"), 2023)
+    assert sorted(map(str, map(tuple, d.collect()))) == ["('x', 2, 2023)", "(None, 1, 2023)"]
+    cells = lambda c: spark.createDataFrame([(c,)], "cells map<string,string>")
+    s = feeds.scraped_schools(cells({"NCES School ID": "1", "District": "d"}), cells({"PSS_SCHOOL_ID": "A", "PSS_FIPS": "6"})).orderBy("nces").collect()
+    assert (s[0].nces, s[0].public_private, s[0].state_fips, s[1].district, s[1].fips) == ("0000A", "private", "6", "d", None)
+    g = spark.createDataFrame([("01", "11111", "n", "+1.5", "-2.5", 2024, None)], "statefp string, unsdlea string, name string, intptlat string, intptlon string, edition int, geom binary")
+    assert feeds.layer_table(g, "school_district").first().center_latitude == 1.5
