@@ -136,7 +136,7 @@ def p4_matches(spark: SparkSession, d: str) -> DataFrame:
     states = F.create_map(*[F.lit(x) for kv in STATES.items() for x in kv])
     u = table(spark, d, "ceeb_university")
     u = u.select(F.lit("ceeb_university").alias("registry"), F.coalesce(digit_code(F.col("ceeb_code"), 7), F.trim("ceeb_code")).alias("code"), F.try_element_at(states, F.trim("state")).alias("state"), F.lit("").alias("place"), "name")
-    he = name_pairs(with_name(u, "name").drop("name").unionByName(colleges.withColumn("place", F.lit("")).distinct()).where("state is not null"), cut, by_town=False)
+    he = name_pairs(with_name(u, "name").drop("name").unionByName(colleges).where("state is not null"), cut, by_town=False)
     he = he.where("registry_a = 'ceeb_university' and registry_b = 'ipeds_hd'").select(F.lit("he").alias("kind"), F.col("code_a").alias("a"), F.col("code_b").alias("b"), (6.0 * F.col("agree") - 3.0).alias("odds"))
     of = lambda r, x: node.where(F.col("registry") == r).select(F.col("code").alias(x), F.col("entity").alias(f"{x}_entity"))
     k12 = k12.join(of("ceeb_school", "a"), "a", "left").join(of("nces_public", "b"), "b", "left")
