@@ -79,15 +79,17 @@ def parsed(lines: DataFrame, key_field: str = KEY_FIELD) -> tuple[DataFrame, Dat
 
 
 def kind_of(value: Column) -> Column:
-    """integer, decimal, text or null, over all present values of a group."""
+    """integer, decimal, text or null, over all present values of a group.
+
+    A whole number written with a point (15029.0) is no integer as written and makes the field decimal.
+    """
     whole = r"^-?(0|[1-9]\d*)$"
     dotted = r"^-?(0|[1-9]\d*)?\.\d+$|^-?(0|[1-9]\d*)\.$"
-    integral = value.rlike(whole) | value.rlike(r"^-?(0|[1-9]\d*)\.0*$")
     numeric = value.rlike(whole) | value.rlike(dotted)
     return (
         F.when(F.count(value) == 0, None)
         .when(F.min(F.coalesce(value.rlike(whole), F.lit(True))), "integer")
-        .when(F.min(F.coalesce(numeric, F.lit(True))) & F.max(F.coalesce(~integral, F.lit(False))), "decimal")
+        .when(F.min(F.coalesce(numeric, F.lit(True))), "decimal")
         .otherwise("text")
     )
 
