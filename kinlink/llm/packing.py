@@ -70,17 +70,18 @@ def _pack(df: DataFrame, id_col: str, capacity: int, shares: int, level: int, fu
         t = pd.concat(parts, ignore_index=True)
         for share, g in t.groupby("_share", sort=False):
             # large items first, the rest of equal sizes by id: a fixed order whatever the partitions
-            g = g.sort_values(["n", id_col, "piece"], ascending=[False, True, True], kind="stable") if level else g.sort_values(["_h", id_col, "piece"], kind="stable")
+            g = g.sort_values(["n", id_col, "piece", "_row"], ascending=[False, True, True, True]) if level else g.sort_values(["_h", id_col, "piece"])
             some = g["n"].to_numpy() > 0
             box = np.zeros(len(g), dtype=np.int64)
             box[some], made = packed(g["n"].to_numpy()[some], capacity)
             fill = np.bincount(box, weights=g["n"].to_numpy(), minlength=max(made, 1))
-            yield pd.DataFrame({id_col: g[id_col], "piece": g["piece"], "start": g["start"], "n": g["n"], "container": ((level << 22) + int(share)) * (1 << 40) + box, "done": fill[box] >= full_enough})
+            yield pd.DataFrame({id_col: g[id_col], "piece": g["piece"], "start": g["start"], "n": g["n"], "_row": g["_row"], "container": ((level << 22) + int(share)) * (1 << 40) + box, "done": fill[box] >= full_enough})
 
-    h = F.xxhash64(F.col(id_col), F.col("piece"), F.lit(level))
+    # the row's own number keeps repeated rows of one id from meeting in one share
+    h = F.xxhash64(F.col(id_col), F.col("piece"), F.col("_row"), F.lit(level))
     d = df.withColumn("_h", h).withColumn("_share", F.pmod("_h", F.lit(shares)))
-    d = d.repartition(shares, "_share").select(id_col, "piece", "start", "n", "_h", "_share")
-    return d.mapInPandas(run, f"`{id_col}` {kind}, piece int, start bigint, n bigint, container bigint, done boolean")
+    d = d.repartition(shares, "_share").select(id_col, "piece", "start", "n", "_row", "_h", "_share")
+    return d.mapInPandas(run, f"`{id_col}` {kind}, piece int, start bigint, n bigint, _row bigint, container bigint, done boolean")
 
 
 def containers(df: DataFrame, id_col: str, size_col: str, capacity: int, cut, share_rows: int = 200_000) -> DataFrame:
@@ -93,7 +94,7 @@ def containers(df: DataFrame, id_col: str, size_col: str, capacity: int, cut, sh
     container, latest opened first. Ids of repeated rows are pieces of their own; an empty table
     gives no rows; nulls: see pieces. cut computes a DataFrame once (see kinlink.session.cut).
     """
-    p = cut(pieces(df, id_col, size_col, capacity))
+    p = cut(pieces(df, id_col, size_col, capacity).withColumn("_row", F.monotonically_increasing_id()))
     whole = p.where(F.col("n") == capacity)
     rest = p.where(F.col("n") < capacity)
     # a full piece is a container by itself and needs no packing
@@ -110,7 +111,7 @@ def containers(df: DataFrame, id_col: str, size_col: str, capacity: int, cut, sh
         left = again.count()
         if not left:
             break
-        rest, shares, level = again.select(id_col, "piece", "start", "n"), max(1, -(-left // share_rows)), 1
+        rest, shares, level = again.select(id_col, "piece", "start", "n", "_row"), max(1, -(-left // share_rows)), 1
     for t in out:
         alone = alone.unionByName(t.select(id_col, "piece", "start", "n", "container"))
     return alone
