@@ -33,7 +33,7 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local["):
+    if not spark.sparkContext.master.startswith("local"):  # also local-cluster is one machine
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     at = os.path.join(tempfile.gettempdir(), "kinlink-checkpoints")
     os.makedirs(at, exist_ok=True)
