@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import csv
 import re
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from itertools import combinations
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -228,37 +230,116 @@ def changes(lines: DataFrame) -> DataFrame:
     return d.join(name, ["series", "nth"]).select("file_name", F.coalesce("field", "old_field").alias("field"), "what").distinct()
 
 
-def one_table(lines: DataFrame, wanted: dict[str, str]) -> DataFrame:
-    """All data lines under consistent fields, whatever each file called them.
+def chains(names: list[str], links: list) -> dict[tuple[int, str], tuple[int, str]]:
+    """(nth, field) -> where its chain began, over the files of one series in order.
+
+    names: the fields of the first file. links: (nth, field, old_field) of drift, without removed ones.
+    """
+    at = {x: (1, x) for x in names if x}
+    out = {(1, x): r for x, r in at.items()}
+    by: dict[int, dict[str, str | None]] = {}
+    for x in links:
+        by.setdefault(x["nth"], {})[x["field"]] = x["old_field"]
+    for n in sorted(by):
+        at = {f: at.get(o, (n, f)) if o else (n, f) for f, o in by[n].items()}
+        out |= {(n, f): r for f, r in at.items()}
+    return out
+
+
+def name_counts(chain: dict[tuple[int, str], tuple[int, str]]) -> Counter:
+    """Of one series: ("file", name, name) -> files with it; ("link", a, b) -> 1 if a chain bears both; ("both", a, b) -> files with both. a < b."""
+    files: dict[int, set[str]] = {}
+    borne: dict[tuple[int, str], set[str]] = {}
+    for (n, f), r in chain.items():
+        files.setdefault(n, set()).add(f)
+        borne.setdefault(r, set()).add(f)
+    c = Counter(("file", f, f) for fs in files.values() for f in fs)
+    linked = {p for fs in borne.values() for p in combinations(sorted(fs), 2)}
+    c.update(("link", *p) for p in linked)
+    c.update(("both", *p) for fs in files.values() for p in combinations(sorted(fs), 2))
+    return c
+
+
+def name_classes(counts: dict[tuple[str, str, str], int], wanted: list[str]) -> dict[str, str]:
+    """Field name -> the name it goes by in every series: a wanted one of its class, else the one most files bear.
+
+    Names are joined from the pair that most series link on. Names that stand in more common files than
+    there are series that link them mean different things, and no class holds two wanted names.
+    """
+    files = {a: n for (what, a, _), n in counts.items() if what == "file"}
+    of = {f: {f} for f in files}
+    apart = lambda a, b: (a in wanted and b in wanted) or counts.get(("both", *sorted((a, b))), 0) > counts.get(("link", *sorted((a, b))), 0)
+    for n, a, b in sorted((-n, a, b) for (what, a, b), n in counts.items() if what == "link"):
+        if of[a] is not of[b] and not any(apart(x, y) for x in of[a] for y in of[b]):
+            both = of[a] | of[b]
+            of |= dict.fromkeys(both, both)
+    return {f: min(of[f], key=lambda x: (x not in wanted, -files[x], x)) for f in files}
+
+
+def names_in_series(chain: dict[tuple[int, str], tuple[int, str]], classes: dict[str, str], wanted: list[str]) -> dict[tuple[int, str], str]:
+    """(nth, field) -> column, over one series.
+
+    A field called by a wanted name is that. Else its chain decides: the wanted name it bears in most of its
+    files, else the class of the name it bears in most. No two fields of a file share a column: one whose
+    column is another's own name or taken keeps its own name, so no value is lost.
+    """
+    borne: dict[tuple[int, str], Counter] = {}
+    files: dict[int, list[str]] = {}
+    for (n, f), r in sorted(chain.items()):
+        borne.setdefault(r, Counter())[f] += 1
+        files.setdefault(n, []).append(f)
+    best = {r: min(c, key=lambda f: (f not in wanted, classes[f] not in wanted, -c[f], f)) for r, c in borne.items()}
+    out = {}
+    for n, fs in files.items():
+        taken = set(fs)
+        for f in fs:
+            to = f if f in wanted else classes[best[chain[n, f]]]
+            out[n, f] = f if to in taken else to
+            taken.add(to)
+    return out
 
-    wanted: field -> type, where a field is named as by the first file of a series that has
-    it under any of its names. Correspondences between successive files are followed through
-    each series (a fold over its files in order, as many as the longest series has), values
-    are tidied (decimal commas, letters around numbers) and cast; what can't be cast is null.
-    Columns: series, file_name, edition, line_no, unitid and wanted.
+
+def one_table(lines: DataFrame, wanted: dict[str, str]) -> DataFrame:
+    """All data lines under consistent fields, whatever each file called them: every field of every file has a column.
+
+    wanted: field -> type, the fields known beforehand. Correspondences between successive files are
+    followed through each series (a fold over its files in order, as many as the longest series has), and
+    what one series tells about names holds where another has a field under one name only; see
+    name_classes and names_in_series. Wanted values are tidied (decimal commas, letters around numbers)
+    and cast; what can't be cast is null. All other fields are text as stated. Only field names and their
+    counts reach the driver, as a table's columns must.
+    Columns: series, file_name, edition, line_no, unitid, wanted, then the others by name; a field named as
+    one of the first four has _field after its name. Fields without a name have no column.
     """
     files, cells = map(cut, parsed(lines))
     links = cut(drift(files, cells)).where("what in ('kept', 'renamed', 'added')")
     per_series = links.groupBy("series").agg(F.sort_array(F.collect_list(F.struct("nth", "field", "old_field"))).alias("links"))
-    first = files.where("nth = 1").select("series", "names")
+    folded = cut(files.where("nth = 1").select("series", "names").join(per_series, "series", "left"))
+    chain_of = lambda names, links: chains(list(names), list(links) if links is not None else [])
 
-    def roots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for t in batches:
+            c: Counter = Counter()
+            for names, links in zip(t["names"], t["links"]):
+                c.update(name_counts(chain_of(names, links)))
+            yield pd.DataFrame([(*k, v) for k, v in c.items()], columns=["what", "a", "b", "n"])
+
+    counts = folded.mapInPandas(counted, "what string, a string, b string, n bigint").groupBy("what", "a", "b").agg(F.sum("n").alias("n"))
+    classes = name_classes({(r.what, r.a, r.b): r.n for r in counts.collect()}, [KEY_FIELD, *wanted])
+
+    def named(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for t in batches:
             rows = []
-            for s, names, chain in zip(t["series"], t["names"], t["links"]):
-                at = {x: x for x in names}
-                rows += [(s, 1, x, x) for x in at]
-                by: dict[int, dict[str, str]] = {}
-                for x in chain if chain is not None else ():
-                    by.setdefault(x["nth"], {})[x["field"]] = x["old_field"]
-                for n in sorted(by):
-                    at = {f: at.get(o, f) if o else f for f, o in by[n].items()}
-                    rows += [(s, n, f, r) for f, r in at.items()]
-            yield pd.DataFrame(rows, columns=["series", "nth", "field", "root"]).astype({"nth": "int32"})
-
-    root = first.join(per_series, "series", "left").mapInPandas(roots, "series string, nth int, field string, root string")
-    c = cells.join(root, ["series", "nth", "field"]).where(F.col("root").isin([*wanted]))
-    wide = c.groupBy("series", "nth", "line_no", "unit").pivot("root", [*wanted]).agg(F.max("value"))
+            for s, names, links in zip(t["series"], t["names"], t["links"]):
+                rows += [(s, n, f, c) for (n, f), c in names_in_series(chain_of(names, links), classes, [KEY_FIELD, *wanted]).items()]
+            yield pd.DataFrame(rows, columns=["series", "nth", "field", "column"]).astype({"nth": "int32"})
+
+    column = cut(folded.mapInPandas(named, "series string, nth int, field string, column string"))
+    others = sorted({r[0] for r in column.select("column").distinct().collect()} - {KEY_FIELD, *wanted})
+    c = cells.join(column, ["series", "nth", "field"])
+    # numbered columns, as a field may be called as one of the grouping columns
+    wide = c.groupBy("series", "nth", "line_no", "unit").pivot("column", [*wanted, *others]).agg(F.max("value"))
+    wide = wide.toDF("series", "nth", "line_no", "unit", *[f"f{i}" for i in range(len(wanted) + len(others))])
 
     def cast(f: str, kind: str) -> Column:
         if kind == "string":
@@ -268,5 +349,7 @@ def one_table(lines: DataFrame, wanted: dict[str, str]) -> DataFrame:
         v = num.try_cast("double") * west
         return v if kind == "double" else F.round(v).try_cast(kind)
 
-    named = files.select("series", "nth", "file_name", "edition")
-    return wide.join(named, ["series", "nth"]).select("series", "file_name", "edition", "line_no", F.col("unit").alias(KEY_FIELD), *[cast(f, k).alias(f) for f, k in wanted.items()])
+    fixed = ("series", "file_name", "edition", "line_no")
+    columns = [cast(f"f{i}", wanted.get(f, "string")).alias(f"{f}_field" if f in fixed else f) for i, f in enumerate([*wanted, *others])]
+    placed = files.select("series", "nth", "file_name", "edition")
+    return wide.join(placed, ["series", "nth"]).select(*fixed, F.col("unit").alias(KEY_FIELD), *columns)

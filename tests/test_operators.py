@@ -177,6 +177,35 @@ def test_one_table(spark):
     assert (2009, "2", "Beta", 31.25) in got and (2010, "1", "Alpha U", 30.5) in got and (2010, "3", "Gamma; x", None) in got and len(got) == 9
 
 
+RENAMED = {
+    # the field comes under another name, then under the wanted one, then under a third
+    "a_2009.csv": ["unitid,multi,Web", "1,1,w1", "2,2,w2", "3,1,w3"], "a_2010.csv": ["unitid,f1systyp,Web", "1,1,w1", "2,2,w2", "3,1,w3"], "a_2011.csv": ["unitid,kind,Web,edition", "1,1,w1,x", "2,2,w2,x", "3,1,w3,x"],
+    # never under the wanted name, which only the other series tells
+    "b_2009.csv": ["unitid,multi,Web", "7,2,w7"],
+    # a name that went its way comes again for other content
+    "c_2009.csv": ["unitid,f1systyp", "5,1", "6,2"], "c_2010.csv": ["unitid,other", "5,1", "6,2"], "c_2011.csv": ["unitid,other,f1systyp", "5,1,4", "6,2,3"],
+    "d_2009.csv": ["unitid", "9"],
+}
+
+
+def test_one_table_keeps_every_field_under_any_name(spark):
+    data = [(f[0], f, int(f[2:6]), k, x) for f, ls in RENAMED.items() for k, x in enumerate(ls, 1)]
+    got = drift.one_table(spark.createDataFrame(data, "series string, file_name string, edition int, line_no int, line string"), {"f1systyp": "int"})
+    assert got.columns == ["series", "file_name", "edition", "line_no", "unitid", "f1systyp", "edition_field", "other", "web"]
+    by = {(r.file_name, r.unitid): r for r in got.collect()}
+    assert len(by) == got.count() == 17
+    assert [by[f"a_{y}.csv", u].f1systyp for y in (2009, 2010, 2011) for u in "123"] == [1, 2, 1] * 3
+    assert by["a_2009.csv", "1"].web == "w1" and by["a_2011.csv", "3"].edition_field == "x" and by["d_2009.csv", "9"].f1systyp is None
+    assert by["b_2009.csv", "7"].f1systyp == 2 and by["b_2009.csv", "7"].web == "w7"
+    assert [by[f"c_{y}.csv", "5"].f1systyp for y in (2009, 2010, 2011)] == [1, 1, 4] and by["c_2011.csv", "5"].other == "1"
+
+
+def test_name_classes():
+    counts = {("file", x, x): n for x, n in (("lat", 2), ("latitude", 5), ("y", 1), ("addr", 9), ("webaddr", 4), ("county", 1), ("countynm", 3))}
+    counts |= {("link", "lat", "latitude"): 2, ("link", "lat", "y"): 1, ("link", "addr", "webaddr"): 1, ("both", "addr", "webaddr"): 4, ("link", "county", "countynm"): 1, ("link", "addr", "latitude"): 1}
+    assert drift.name_classes(counts, ["latitude", "addr"]) == {"lat": "latitude", "latitude": "latitude", "y": "latitude", "addr": "addr", "webaddr": "webaddr", "county": "countynm", "countynm": "countynm"}
+
+
 def test_header_of():
     assert drift.header_of("a;UNITID ;b") == (";", ["a", "unitid", "b"])
     assert drift.header_of("x,y") is None and drift.header_of(None) is None
