@@ -172,10 +172,16 @@ def he_exact_crosswalk(spark: SparkSession, d: str) -> DataFrame:
 
 
 def he_coverage(spark: SparkSession, d: str) -> DataFrame:
+    """Coverage by exact matches alone, as its SQL has it; he_full_coverage is the report."""
     return coverage(he_exact_crosswalk(spark, d)).withColumn("value", F.round("value", 6))
 
 
-QUERIES = {"he_hd": he_hd, "he_universities": he_universities, "he_nsc": he_nsc, "he_exact": he_exact, "he_quality": he_quality, "he_bm25": he_bm25, "he_fuzzy": he_fuzzy, "he_crosswalk": he_crosswalk, "he_exact_crosswalk": he_exact_crosswalk, "he_coverage": he_coverage}
+def he_full_coverage(spark: SparkSession, d: str) -> DataFrame:
+    """Coverage of the whole crosswalk, by exact and fuzzy matches. SQL has no measure for the fuzzy ones."""
+    return coverage(he_crosswalk(spark, d)).withColumn("value", F.round("value", 6))
+
+
+QUERIES = {"he_hd": he_hd, "he_universities": he_universities, "he_nsc": he_nsc, "he_exact": he_exact, "he_quality": he_quality, "he_bm25": he_bm25, "he_fuzzy": he_fuzzy, "he_crosswalk": he_crosswalk, "he_exact_crosswalk": he_exact_crosswalk, "he_coverage": he_coverage, "he_full_coverage": he_full_coverage}
 
 _FIELDS = ["opeid", "edition", "multicampus", "ipeds_name", "name", "address", "city", "county_name", "state_abbr", "zip", "state_fips", "fips", "latitude", "longitude", "state"]
 _Q = "'\"'"
