@@ -53,10 +53,25 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return out
 
 
+# p2_best's fields and, of each registry, the field that states them.
+BEST_FIELDS = ["full_name", "address", "city", "zip", "county_name"]
+STATED_AS = {"ncaa_school": {"name": "full_name"}, "nces_school": {"nces_name": "full_name"}}
+
+
 def p2_best(spark: SparkSession, d: str) -> DataFrame:
-    """The surviving record of each ceeb code, values weighed by recency with a half-life of two years."""
-    rows, fields = _registry(spark, d, "ceeb_school")
-    return survivors(rows, fields).select("grp.code", *fields)
+    """The surviving record of each code of the three registries, values weighed by trust and recency with a half-life of two years.
+
+    system: ceeb for rows of ceeb_school and ncaa_school, which vote together on a code, and state for nces_school's.
+    """
+    rows = None
+    for name in REGISTRY_FIELDS:
+        r, _ = _registry(spark, d, name)
+        system = F.lit("state" if name == "nces_school" else "ceeb")
+        grp = F.when(F.col("grp").isNotNull(), F.struct(system.alias("system"), F.col("grp.code").alias("code")))
+        r = r.withColumn("grp", grp).withColumnsRenamed(STATED_AS.get(name, {}))
+        rows = r if rows is None else rows.unionByName(r, allowMissingColumns=True)
+    fields = {f: ZIP_STAND_INS if f == "zip" else STAND_INS for f in BEST_FIELDS}
+    return survivors(rows, fields).select("grp.system", "grp.code", *fields)
 
 
 def _stated(spark: SparkSession, d: str) -> DataFrame:

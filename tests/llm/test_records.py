@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinlink.functions.values import STAND_INS
+from kinlink.llm import queries
 from kinlink.llm.addresses import gazetteer, read_rows, resolved, same_location_pairs
 from kinlink.llm.belief import one_to_one, same_entity
 from kinlink.llm.names import Trie, codes_together, name_pairs, names_agree, one_edit, read_name, with_name, with_places
@@ -188,3 +189,27 @@ def test_many_old_votes_outweigh_one_new_with_a_long_half_life(spark):
     d = people(spark, data)
     assert survivors(d, ["f", "g"], 3650.0).first().f == "Old" and survivors(d, ["f", "g"], 3650.0).first().g is None
     assert survivors(d, ["f"], 10.0).first().f == "new" and survivors(d, ["f"], None).first().f == "new"
+
+
+def test_p2_best_lets_registries_vote_together(spark, tmp_path):
+    def write(name, columns, data):
+        d = spark.createDataFrame(data, columns)
+        (d.withColumn("updated", F.col("updated").cast("timestamp")) if name == "ceeb_school" else d).write.parquet(f"{tmp_path}/{name}.parquet")
+
+    write("ceeb_school", "rec_id bigint, ceeb string, full_name string, address string, city string, zip string, updated string", [
+        (1, "1", "Trusted", "1 Oak St", "Ayton", None, None), (2, "00000002", "One", None, "n/a", "12345", None), (3, "3", "Dated", None, None, None, "2020-01-01"), (4, None, "Nobody", None, None, None, None),
+    ])
+    write("ncaa_school", "rec_id bigint, ceeb_code string, name string, address string, city string, zip string", [
+        (11, "00000001", "Less trusted", "2 Elm St", None, "54321"), (12, "2", "Two", "3 Elm St", "Beeton", None), (13, "2.0", "TWO", None, None, None), (14, "3", "Old", None, "Ceeton", None), (15, "3", "OLD", None, None, None), (16, "9", "Alone", None, None, None),
+    ])
+    write("nces_school", "rec_id bigint, state_abbr string, state_school_id string, nces_name string, address string, city string, zip string, county_name string", [
+        (21, "NY", "1", "Early", "4 Ash St", "Deeton", "10001", "Oak County"), (22, "NY", "0000001", "Late", None, None, None, None), (23, "NY", None, "Private", None, None, None, None),
+    ])
+    got = {(r.system, r.code): tuple(r)[2:] for r in queries.p2_best(spark, str(tmp_path)).collect()}
+    assert got == {
+        ("ceeb", "00000001"): ("Trusted", "1 Oak St", "Ayton", "54321", None),  # of equal age, the more trusted though its rec is lower
+        ("ceeb", "00000002"): ("TWO", "3 Elm St", "Beeton", "12345", None),  # two less trusted against one
+        ("ceeb", "00000003"): ("Dated", None, "Ceeton", None, None),
+        ("ceeb", "00000009"): ("Alone", None, None, None, None),
+        ("state", "NY-0000001"): ("Late", "4 Ash St", "Deeton", "10001", "Oak County"),
+    }
