@@ -371,11 +371,38 @@ def with_places(pairs: DataFrame, places: DataFrame) -> DataFrame:
     return d.groupBy(*keys).agg(F.max("agree").alias("agree"), F.max(F.col("at_a") == F.col("at_b")).alias("together"))
 
 
-def codes_together(pairs: DataFrame) -> DataFrame:
+def rare_pairs(pairs: DataFrame, names: DataFrame) -> DataFrame:
+    """The pairs of one registry whose places can't tell and whose names agree in part, if the name is theirs alone.
+
+    Neither code may have a variant at a third code of its registry and town that isn't at its own location,
+    and each name of either code must agree with one of the other's.
+    """
+    one = pairs.where("registry_a = registry_b").select(F.col("registry_a").alias("registry"), "code_a", "code_b", "agree", "together")
+    apart = one.where("together is null or not together").select("registry", F.explode(F.array("code_a", "code_b")).alias("code"))
+    common = apart.groupBy("registry", "code").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("registry", "code")
+    d = one.where("together is null and agree < 0.99").select("registry", "code_a", "code_b")
+    for x in ("code_a", "code_b"):
+        d = d.join(common.withColumnRenamed("code", x), ["registry", x], "left_anti")
+    asked = d.select("registry", F.explode(F.array("code_a", "code_b")).alias("code")).distinct()
+    cores = names.select("registry", "code", "core").join(asked, ["registry", "code"], "left_semi").groupBy("registry", "code").agg(F.collect_set("core").alias("cores"))
+    for x in "ab":
+        d = d.join(cores.select("registry", F.col("code").alias(f"code_{x}"), F.col("cores").alias(f"cores_{x}")), ["registry", f"code_{x}"])
+
+    @F.arrow_udf("boolean")
+    def agree(a: pa.Array, b: pa.Array) -> pa.Array:
+        meets = lambda x, y: all(any(names_agree(tuple(m), tuple(n)) for n in y) for m in x)
+        return pa.array([meets(x, y) and meets(y, x) for x, y in zip(a.to_pylist(), b.to_pylist())], pa.bool_())
+
+    return d.where(agree("cores_a", "cores_b")).select("registry", "code_a", "code_b")
+
+
+def codes_together(pairs: DataFrame, names: DataFrame | None = None) -> DataFrame:
     """(registry, code_a, code_b) of one institution, code_a < code_b, from with_places' rows.
 
     Variants of one name in one town count as one institution if the codes share a location, or if
-    they can't contradict each other: one of them states no location at all and the names agree fully.
+    they can't contradict each other: one of them states no location at all and the names agree fully,
+    or, where names are given, in part but are borne by these two alone (see rare_pairs).
     """
     one = pairs.where("registry_a = registry_b and (together or (together is null and agree >= 0.99))")
-    return one.select(F.col("registry_a").alias("registry"), "code_a", "code_b").distinct()
+    one = one.select(F.col("registry_a").alias("registry"), "code_a", "code_b")
+    return (one if names is None else one.unionByName(rare_pairs(pairs, names))).distinct()

@@ -116,7 +116,7 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     names, places = _named_codes(spark, d)
     # ipeds_hd's institutions and the schools meet in one call, but only pairs of one registry are asked for
     apart = names.withColumn("state", F.concat_ws("/", "registry", "state"))
-    return codes_together(with_places(name_pairs(apart, cut), places))
+    return codes_together(cut(with_places(name_pairs(apart, cut), places)), names)
 
 
 # The states' names as ceeb_university writes them, with their postal abbreviations.
@@ -139,7 +139,7 @@ def p4_matches(spark: SparkSession, d: str) -> DataFrame:
     # schools meet schools and colleges meet colleges, in one call
     apart = names.withColumn("state", F.when(F.col("registry") == "ipeds_hd", F.concat(F.lit("u/"), "state")).otherwise(F.col("state")))
     pairs = cut(with_places(name_pairs(apart, cut), places))
-    node = same_entity(codes_together(pairs), cut)
+    node = same_entity(codes_together(pairs, names), cut)
     told = table(spark, d, "ceeb_school").select(digit_code(F.col("ceeb"), 8).alias("a"), digit_code(F.col("nces"), 12).alias("b")).where("a is not null and b is not null").distinct()
     named = pairs.where("registry_a = 'ceeb_school' and registry_b = 'nces_public'").select(F.col("code_a").alias("a"), F.col("code_b").alias("b"), "agree", "together")
     told = told.join(names.where("registry = 'nces_public'").select(F.col("code").alias("b")).distinct(), "b", "left_semi")

@@ -133,6 +133,19 @@ def test_codes_together(spark):
     assert codes_together(with_places(name_pairs(names.limit(0), cut), places)).collect() == []
 
 
+def test_codes_without_location(spark):
+    n = [
+        ("r", "1", "Richard Kirwells Academy"), ("r", "1", "Richard Kirwlels Academy"), ("r", "2", "R Kirwells Academy"), ("r", "3", "Richard Stavwicke Academy"), ("r", "3", "Stavwicke Academy"), ("r", "4", "James Stavwicker Academy"), ("r", "4", "J Stavwicker Academy"),
+        ("r", "5", "William Tolnerer Academy"), ("r", "6", "W Tolnerer Academy"), ("r", "7", "Walter Tolnerer Academy"),
+    ]
+    names = with_name(spark.createDataFrame([(r, c, "NY", "x", m) for r, c, m in n], "registry string, code string, state string, place string, name string"), "name")
+    places = spark.createDataFrame([("r", "1", 10), ("r", "3", 11), ("r", "5", 12), ("r", "7", 13)], "registry string, code string, location bigint")
+    pairs = cut(with_places(name_pairs(names, cut), places))
+    # 3 and 4 contradict each other in their given names; 6 may be 5 or 7
+    assert {("r", "3", "4"), ("r", "5", "6"), ("r", "6", "7")} <= {(r.registry_a, r.code_a, r.code_b) for r in pairs.collect()}
+    assert sorted(map(tuple, codes_together(pairs, names).collect())) == [("r", "1", "2")]
+
+
 def marginals(edges):
     """Exact marginals by enumeration of all matchings."""
     total, per = 0.0, dict.fromkeys([e[:2] for e in edges], 0.0)
