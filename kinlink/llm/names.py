@@ -260,10 +260,27 @@ def edits_for(key: str) -> int:
 
 
 def orders(core: tuple[str, ...], key: str) -> set[str]:
-    """The key, and those of other orders of its words, for names of two or three such words."""
-    long = [w for w in core if len(w) > 1 and w not in NICKNAMES and w not in SIDES.values() and w not in PREFIXES.values()]
-    tail = key[key.index("#") :] if "#" in key else ""
-    return {"".join(p) + tail for p in itertools.permutations(long)} if 2 <= len(long) <= 3 else {key}
+    """The key, and those of other orders of its words: all for two or three such words, see sorted_keys for more."""
+    long = _long(core)
+    return {"".join(p) + _tail(key) for p in itertools.permutations(long)} if 2 <= len(long) <= 3 else {key, *sorted_keys(core, key)}
+
+
+def sorted_keys(core: tuple[str, ...], key: str) -> set[str]:
+    """The keys of four or more such words sorted by their starts and by their ends, else none.
+
+    Names of any order meet in them, and an edit at the start of a word leaves the order by ends as it is.
+    """
+    long = _long(core)
+    both = (sorted(long), sorted(long, key=lambda w: w[::-1])) if len(long) > 3 else ()
+    return {x for x in ("".join(p) + _tail(key) for p in both) if len(x) == len(key)}
+
+
+def _long(core: tuple[str, ...]) -> list[str]:
+    return [w for w in core if len(w) > 1 and w not in NICKNAMES and w not in SIDES.values() and w not in PREFIXES.values()]
+
+
+def _tail(key: str) -> str:
+    return key[key.index("#") :] if "#" in key else ""
 
 
 BLOCK = 6
@@ -320,7 +337,8 @@ def variants(names: DataFrame) -> DataFrame:
                     out += [(shard, min(code, o), max(code, o), a) for o, a in seen.items()]
                 if n not in tries:
                     tries[n] = Trie(n)
-                tries[n].add(key, (code, core))
+                for form in {key, *sorted_keys(core, key)}:
+                    tries[n].add(form, (code, core))
             if len(out) > 50_000:
                 yield batch()
                 out = []

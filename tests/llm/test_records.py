@@ -146,6 +146,12 @@ def test_codes_without_location(spark):
     assert sorted(map(tuple, codes_together(pairs, names).collect())) == [("r", "1", "2")]
 
 
+def test_long_names_in_another_order(spark):
+    n = [("1", "Solkin Varland Tamworth Fenmoor Academy"), ("2", "Fenmoor Tamworth Solkin Varland Academy"), ("3", "Tamworth Folkin Fenmoor Varland Academy"), ("4", "Fenmoor Tamworth Solkin Ulmwicks Academy")]
+    names = with_name(spark.createDataFrame([("r", c, "NY", "x", m) for c, m in n], "registry string, code string, state string, place string, name string"), "name")
+    assert sorted((r.code_a, r.code_b) for r in name_pairs(names, cut).collect()) == [("1", "2"), ("1", "3"), ("2", "3")]
+
+
 def marginals(edges):
     """Exact marginals by enumeration of all matchings."""
     total, per = 0.0, dict.fromkeys([e[:2] for e in edges], 0.0)
