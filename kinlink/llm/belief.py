@@ -49,19 +49,22 @@ def one_to_one(edges: DataFrame, cut, rounds: int = 30, eps: float = 0.05, dampi
     return alone.unionByName(d.select("l", "r", sigmoid(F.col("odds") + F.col("a") + F.col("b")).alias("p")))
 
 
-def same_entity(pairs: DataFrame, cut, rounds: int = 30) -> DataFrame:
+def same_entity(pairs: DataFrame, cut) -> DataFrame:
     """(registry, code, entity) for pairs (registry, code_a, code_b): entity is the least code each is linked to.
 
-    Labels go along the pairs by joins until none changes; codes in no pair have no row.
+    Labels go along the pairs by joins until none changes. A code that learns of a lower label tells the
+    code that labels it, and each then takes the label of its label, so that the rounds grow with the
+    logarithm of the longest chain. Codes in no pair have no row.
     """
     p = pairs.select("registry", F.col("code_a").alias("x"), F.col("code_b").alias("y"))
     p = cut(p.unionByName(p.select("registry", F.col("y").alias("x"), F.col("x").alias("y"))).distinct())
     label = p.groupBy("registry", "x").agg(F.least(F.min("y"), F.first("x")).alias("e"))
-    for _ in range(rounds):
+    while True:
         near = p.join(label.withColumnRenamed("x", "y"), ["registry", "y"]).groupBy("registry", "x").agg(F.min("e").alias("n"))
-        new = cut(label.join(near, ["registry", "x"]).select("registry", "x", F.least("e", "n").alias("e"), (F.col("n") < F.col("e")).alias("moved")))
-        still = new.where("moved").isEmpty()
-        label = new.drop("moved")
-        if still:
+        new = cut(label.join(near, ["registry", "x"]).select("registry", "x", "e", F.least("e", "n").alias("n")))
+        if new.where("n < e").isEmpty():
             break
+        told = new.groupBy("registry", F.col("e").alias("x")).agg(F.min("n").alias("told"))
+        low = cut(new.join(told, ["registry", "x"], "left").select("registry", "x", F.least("n", "told").alias("e")))
+        label = cut(low.join(low.select("registry", F.col("x").alias("e"), F.col("e").alias("up")), ["registry", "e"]).select("registry", "x", F.col("up").alias("e")))
     return label.select("registry", F.col("x").alias("code"), F.col("e").alias("entity"))

@@ -188,6 +188,17 @@ def test_same_entity(spark):
     assert same_entity(d.limit(0), cut).collect() == []
 
 
+def test_same_entity_along_long_chains(spark):
+    rnd = random.Random(3)
+    mixed = rnd.sample([f"m{i:03}" for i in range(150)], 150)
+    chains = [[f"c{i:03}" for i in range(150)], mixed]
+    d = spark.createDataFrame([("r", min(a, b), max(a, b)) for c in chains for a, b in itertools.pairwise(c)], "registry string, code_a string, code_b string")
+    cuts = []
+    got = same_entity(d, lambda x: cuts.append(1) or cut(x)).collect()
+    assert len(got) == 300 and {(r.code[0], r.entity) for r in got} == {("c", "c000"), ("m", "m000")}
+    assert len(cuts) <= 3 * 10  # rounds by the logarithm
+
+
 def people(spark, data):
     d = spark.createDataFrame(data, "grp string, rec bigint, at string, trust double, f string, g string")
     return d.withColumn("at", F.col("at").cast("timestamp_ntz"))
