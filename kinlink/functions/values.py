@@ -33,9 +33,8 @@ def digit_code(c: Column, width: int) -> Column:
 
 def zip5(c: Column) -> Column:
     """First five digits of a postal code with lost leading zeros restored; null for stand-ins."""
-    z = F.regexp_extract(F.trim(c.cast("string")), r"^(\d{3,5})(?:\D.*)?$", 1)
-    z = F.when(F.length(z) > 0, F.lpad(z, 5, "0"))
-    return F.when(z != "00000", z)
+    z = F.nullif(F.regexp_extract(F.trim(c.cast("string")), r"^(\d{3,5})(?:\D.*)?$", 1), F.lit(""))
+    return F.nullif(F.lpad(z, 5, "0"), F.lit("00000"))
 
 
 def county_code(c: Column) -> Column:
