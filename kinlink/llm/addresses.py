@@ -3,8 +3,8 @@
 A gazetteer is built from the addresses themselves: towns of zips, spellings of streets
 clustered within their locality, and at each house number the streets, directions and types
 stated there. Every address is resolved by a beam search over the gazetteer's entries at its
-number; rows with one identifier and number are at one location (units don't tell locations
-apart, but are kept beside).
+number; rows with one identifier and number are at one location, and those with one unit besides
+at one address (units don't tell locations apart).
 """
 
 from __future__ import annotations
@@ -21,21 +21,27 @@ from kinlink.llm.spelling import heads
 from kinlink.llm.streets import address_fields
 
 
+def digest(*parts: Column) -> Column:
+    """16 bytes that stand for the parts together, null parts included."""
+    return F.unhex(F.md5(F.concat_ws("\x1f", *[F.coalesce(F.concat(F.lit("+"), p), F.lit("-")) for p in parts])))
+
+
 def readings(rows: DataFrame) -> DataFrame:
     """rows with state, zip and town tidied, and number, direction, street, kind, unit read from the street.
 
-    rows: state, city, zip, street and any others, which stay.
+    rows: state, city, zip, street and any others, which stay. zip and town are empty where none is known.
     Rows with neither a usable city nor zip drop out. number and the parts of the street are null
     where a row states no street address with a number. Whole addresses are read, whatever their
     length; only streets and cities go to Python.
     """
-    zip_code = zip5(F.col("zip"))
+    zip_code = F.coalesce(zip5(F.col("zip")), F.lit(""))
     city = F.when(usable(F.col("city"), STAND_INS), F.col("city"))
     # a zip of another form counts as usable, though it names no town
     zip_told = usable(F.col("zip"), ZIP_STAND_INS)
 
     parts = ["town", "number", "direction", "street", "kind", "unit"]
 
+    # not deterministic for the optimiser only: else a filter on a part is pushed below a distinct and the rows are read twice
     @F.arrow_udf(f"struct<{','.join(f'{x}:string' for x in parts)}>")
     def read(streets: pa.Array, cities: pa.Array) -> pa.Array:
         columns = zip(*map(address_fields, streets.to_pylist(), cities.to_pylist())) if len(streets) else [[]] * len(parts)
@@ -43,45 +49,54 @@ def readings(rows: DataFrame) -> DataFrame:
 
     d = rows.where(zip_told | city.isNotNull())
     d = d.withColumns({"state": F.upper(F.trim(F.coalesce(F.col("state"), F.lit("")))), "city": city, "zip": zip_code})
-    d = d.withColumn("_a", read("street", "city")).drop("street", "city")
+    d = d.withColumn("_a", read.asNondeterministic()("street", "city")).drop("street", "city")
     return d.select("*", "_a.*").drop("_a")
 
 
-def with_locality(r: DataFrame) -> DataFrame:
-    """readings with place, the town every row is in: that stated by most rows of its zip; without
+def places_of(read: DataFrame, cut) -> DataFrame:
+    """(state, zip, town, place) of rows with these and perhaps their number n: the town every row is in. It is that stated by most rows of its zip; without
     a zip of known town the stated one, misspellings put right against the state's towns."""
-    named = r.where("town != ''").groupBy("state", "zip", "town").agg(F.sum("n").alias("n"))
-    of_zip = named.where("zip is not null").groupBy("state", "zip").agg(F.max_by("town", F.struct("n", "town")).alias("zip_town"))
-    towns = named.groupBy("state", "town").agg(F.sum("n").alias("n")).withColumnRenamed("town", "word")
+    named = cut(read.groupBy("state", "zip", "town").agg((F.sum("n") if "n" in read.columns else F.count(F.lit(1))).alias("n")))
+    some = named.where("town != ''")
+    of_zip = some.where("zip != ''").groupBy("state", "zip").agg(F.max_by("town", F.struct("n", "town")).alias("zip_town"))
+    towns = some.groupBy("state", F.col("town").alias("word")).agg(F.sum("n").alias("n"))
     right = heads(towns, "state").groupBy("state", F.col("word").alias("town")).agg(F.max_by("head", F.struct("n", "head")).alias("right_town"))
-    d = r.join(of_zip, ["state", "zip"], "left").join(right, ["state", "town"], "left")
-    place = F.coalesce("zip_town", "right_town", F.nullif("town", F.lit("")), "zip", F.lit(""))
-    return d.withColumn("place", place).drop("zip_town", "right_town")
+    d = named.join(of_zip, ["state", "zip"], "left").join(right, ["state", "town"], "left")
+    place = F.coalesce("zip_town", "right_town", F.nullif("town", F.lit("")), "zip")
+    return d.select("state", "zip", "town", place.alias("place"))
 
 
-def with_street(r: DataFrame) -> DataFrame:
-    """readings with street replaced by the head of its cluster of spellings.
+def street_heads(entries: DataFrame) -> DataFrame:
+    """(state, place, street, head): the spelling of each cluster of a locality's streets that stands for a misspelled one.
 
-    Candidates are spellings one edit away and several times as frequent in the whole corpus; one
-    present in the same locality goes before all others, then the more frequent.
+    entries: state, place, street, n. A spelling belongs to another of its own locality that is one edit away and
+    several times as frequent in the corpus; of several the one most frequent in the locality, then in the corpus.
+    Streets of other localities never replace one. A street that stands in most of its localities without the other
+    is a street of its own and stays. Pairs of spellings are found once over the vocabulary, by their deletion
+    neighbours, before localities are looked at.
     """
-    entries = r.groupBy("state", "place", "street").agg(F.sum("n").alias("n"))
     words = entries.groupBy(F.col("street").alias("word")).agg(F.sum("n").alias("n")).withColumn("all", F.lit(0))
-    near = heads(words, "all").select(F.col("word").alias("street"), "head", F.col("n").alias("hn"))
-    here = entries.select("state", "place", F.col("street").alias("head"), F.lit(1).alias("here"))
-    best = entries.select("state", "place", "street").join(near, "street").join(here, ["state", "place", "head"], "left")
-    best = best.groupBy("state", "place", "street").agg(F.max_by("head", F.struct(F.coalesce("here", F.lit(0)), "hn", "head")).alias("head"))
-    return r.join(best, ["state", "place", "street"], "left").withColumn("street", F.coalesce("head", "street")).drop("head")
+    near = heads(words, "all").select(F.col("word").alias("street"), "head", F.col("n").alias("corpus"))
+    here = entries.select("state", "place", F.col("street").alias("head"), F.col("n").alias("here"))
+    d = entries.select("state", "place", "street").join(near, "street").join(here, ["state", "place", "head"], "left")
+    variant = d.groupBy("street", "head").agg(F.count(F.lit(1)).alias("places"), F.count("here").alias("beside")).where("2 * beside >= places").select("street", "head")
+    d = d.where("here is not null").join(variant, ["street", "head"])
+    return d.groupBy("state", "place", "street").agg(F.max_by("head", F.struct("here", "corpus", "head")).alias("head"))
+
 
+BEAM = 8
 
-def resolved(entries: list[tuple[str, str, str, str, int]], beam: int = 8) -> dict[tuple[str, str, str, str], str]:
+
+def resolved(entries: list[tuple[str, str, str, str, int]], beam: int = BEAM) -> dict[tuple[str, str, str, str], str]:
     """Street identifier of each reading (street, direction, kind, zip) at one house number.
 
     entries: readings with their counts; those whose parts are all stated, or that nothing more
     complete explains, form the gazetteer at this number. A reading is resolved part by part by a
-    beam search: a stated part must agree, a missing one may be filled from the entries, each
-    filling weighed by the entry's count, the agreement of zips and its own plausibility; the
-    beam keeps the best hypotheses. Two fillings of equal weight are no evidence: then the
+    beam search, first the street's name (a last word read as its type may belong to
+    the name, if others state another type behind it), then its direction, then its type: a stated part must agree,
+    a missing one may be filled from
+    the entries, each filling weighed by the entry's count, the agreement of zips and its own plausibility;
+    the beam keeps the best hypotheses. Two fillings of equal weight are no evidence: then the
     reading stands for itself.
     """
     gazetteer: dict[str, dict[tuple[str, str], dict]] = {}
@@ -92,85 +107,85 @@ def resolved(entries: list[tuple[str, str, str, str, int]], beam: int = 8) -> di
             e["zips"][zip_code] = e["zips"].get(zip_code, 0) + n
     out = {}
     for street, direction, kind, zip_code, _ in entries:
-        known = gazetteer[street]
-        hypotheses = [(0.0, "", "")]
-        # direction first
-        step = []
-        for w, _, _ in hypotheses:
-            for d in {d for d, _ in known}:
+        if (street, direction, kind, zip_code) in out:
+            continue
+        step = [(0.0, street, kind)]
+        if kind and street + kind in gazetteer:
+            step.append((0.0, street + kind, ""))
+        hypotheses = []
+        for w, name, type_left in step:
+            for d in sorted({d for d, _ in gazetteer[name]}):
                 if d == direction:
-                    step.append((w, d, ""))
+                    hypotheses.append((w, name, type_left, d))
                 elif not direction and d:
-                    step.append((w - 0.5 + 1.0, d, ""))  # a part more told by others than left out here
-        hypotheses = sorted(step, key=lambda h: (-h[0], h[1]))[:beam]
-        step = []
-        for w, d, _ in hypotheses:
-            for (e_d, e_k), e in known.items():
-                if e_d != d or (kind and e_k and e_k != kind) or (kind and not e_k):
+                    hypotheses.append((w + 0.5, name, type_left, d))  # a part told by others and left out here
+        hypotheses = sorted(hypotheses, key=lambda h: (-h[0], h[1:]))[:beam]
+        found = []
+        for w, name, type_left, d in hypotheses:
+            for (e_d, e_k), e in gazetteer[name].items():
+                if e_d != d or (type_left and e_k != type_left) or (name != street and not e_k):
                     continue
-                filled = 0.5 if e_k and not kind else 0.0
+                filled = 0.5 if e_k and not type_left else 0.0
                 told = e["zips"]
                 zips = 0.0 if not zip_code or not told else (1.0 if zip_code in told else -1.0)
-                step.append((w + filled + zips + 0.1 * math.log1p(e["n"]), d, e_k))
-        ranked = sorted(step, key=lambda h: (-h[0], h[1:]))[:beam]
+                found.append((w + filled + zips + 0.1 * math.log1p(e["n"]), name, d, e_k))
+        ranked = sorted(found, key=lambda h: (-h[0], h[1:]))[:beam]
         # as stated, unless one filling stands out from others that differ from it
-        best = ranked[0]
-        fuller = [h for h in ranked if (h[1], h[2]) != (direction, kind)]
-        if fuller:
-            clear = len(fuller) == 1 or fuller[0][0] - fuller[1][0] > 0.3 or _one_explains(fuller)
-            best = fuller[0] if clear else (0.0, direction, kind)
-        out[street, direction, kind, zip_code] = f"{street}|{best[1]}|{best[2]}"
+        best = (0.0, street, direction, kind)
+        fuller = [h for h in ranked if h[1:] != best[1:]]
+        if fuller and (len(fuller) == 1 or fuller[0][0] - fuller[1][0] > 0.3 or _one_explains(fuller)):
+            best = fuller[0]
+        out[street, direction, kind, zip_code] = "|".join(best[1:])
     return out
 
 
-def _one_explains(fuller: list[tuple[float, str, str]]) -> bool:
+def _one_explains(fuller: list[tuple[float, str, str, str]]) -> bool:
     """Whether the best filling is the others completed."""
-    _, d, k = fuller[0]
-    return all((not h[1] or h[1] == d) and (not h[2] or h[2] == k) for h in fuller[1:])
+    _, s, d, k = fuller[0]
+    return all(h[1] == s and (not h[2] or h[2] == d) and (not h[3] or h[3] == k) for h in fuller[1:])
 
 
-def with_identifier(r: DataFrame) -> DataFrame:
-    """readings with entry, the identifier of the street the beam search gives.
+def identified(r: DataFrame, of: list[str]) -> DataFrame:
+    """r's columns of, state, place, number and entry, the identifier of the street that the beam search gives.
 
-    Readings are made distinct with their counts first, so a group holds the different readings
-    at one house number of one locality, however many rows have them.
+    r: of (texts or bytes), state, place, number, street, direction, kind, zip and n, the number of rows it stands for.
+    A group is the different readings at one house number of one locality whose streets begin alike, however
+    many rows have them. Groups come sorted and are read as a stream; only the group at hand is kept.
     """
-    keys = ["state", "place", "number"]
-    parts = ["street", "direction", "kind", "zip"]
-    r = r.withColumn("zip", F.coalesce("zip", F.lit("")))
-    different = r.groupBy(*keys, *parts).agg(F.sum("n").alias("n"))
+    keys = ["state", "place", "number", "starts"]
+    columns = [*of, "street", "direction", "kind", "zip", "n"]
+    k, kinds = len(of), dict(r.dtypes)
+    types = [*[pa.binary() if kinds[c] == "binary" else pa.string() for c in of], *[pa.string()] * 4]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # rows come sorted, so the readings at one house number lie together, be it over two batches
         key, group, out = None, [], []
 
         def close() -> None:
-            if len({x[:3] for x in group}) > 1:
-                for x, entry in resolved(group).items():
-                    if entry != "|".join(x[:3]):
-                        out.append((*key, *x, entry))
+            if len({x[k : k + 3] for x in group}) > 1:
+                entry = resolved([x[k:] for x in group])
+                out.extend((*x[:k], *key[:3], entry[x[k : k + 4]]) for x in group)
+            else:
+                out.extend((*x[:k], *key[:3], "|".join(x[k : k + 3])) for x in group)
 
         def batch() -> pa.RecordBatch:
-            columns = list(zip(*out)) if out else [()] * 8
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], [*keys, *parts, "entry"])
+            done = list(zip(*out)) if out else [()] * len(types)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(done, types)], [*of, *keys[:3], "entry"])
 
         for t in batches:
-            for row in zip(*(t.column(k).to_pylist() for k in range(8))):
-                if row[:3] != key:
+            for row in zip(*(t.column(c).to_pylist() for c in range(len(keys) + len(columns)))):
+                if row[:4] != key:
                     close()
-                    key, group = row[:3], []
-                group.append(row[3:])
+                    key, group = row[:4], []
+                group.append(row[4:])
             if len(out) > 20_000:
                 yield batch()
                 out.clear()
         close()
         yield batch()
 
-    near = different.repartition(*keys).sortWithinPartitions(*keys, *parts)
-    filled = near.select(*keys, *parts, "n").mapInArrow(search, "state string, place string, number string, street string, direction string, kind string, zip string, entry string")
-    d = r.join(filled, [*keys, *parts], "left")
-    own = F.concat_ws("|", "street", "direction", "kind")
-    return d.withColumn("entry", F.coalesce("entry", own))
+    d = r.withColumn("starts", F.substring("street", 1, 1)).select(*keys, *columns)
+    d = d.repartition(*keys).sortWithinPartitions(*keys)
+    return d.mapInArrow(search, ", ".join([*[f"`{c}` {kinds[c]}" for c in of], *[f"{c} string" for c in (*keys[:3], "entry")]]))
 
 
 ADDRESS = ("state", "city", "zip", "street")
@@ -178,25 +193,37 @@ READING = ("state", "zip", "town", "number", "direction", "street", "kind")
 
 
 def read_rows(rows: DataFrame) -> DataFrame:
-    """readings of rows (ADDRESS and others) with reading, a digest of all that was read: what differs only in
-    case, abbreviation or the last digits of its zip has the same. Units don't count."""
-    told = [F.coalesce(F.concat(F.lit("+"), F.col(c)), F.lit("-")) for c in READING]
-    return readings(rows).drop("unit").withColumn("reading", F.xxhash64(*told))
+    """readings of rows (ADDRESS and others) with reading, a digest of all that was read but the unit: what differs
+    only in case, abbreviation or the last digits of its zip has the same."""
+    return readings(rows).withColumn("reading", digest(*map(F.col, READING)))
+
+
+def placed(read: DataFrame, cut) -> DataFrame:
+    """readings with place, the town each is in by what all of read say; see places_of."""
+    return read.join(places_of(read, cut), ["state", "zip", "town"])
+
+
+def located(r: DataFrame, of: list[str], cut) -> DataFrame:
+    """r's columns of with state, place and location, of rows that state a street address with a number.
+
+    r: of, state, place, number, street, direction, kind, zip and n. The gazetteer is r itself: its streets by
+    locality and what is stated at each number. location is a digest of state, town, house number and street identifier.
+    """
+    told = r.where("number is not null")
+    heads_of = street_heads(cut(told.groupBy("state", "place", "street").agg(F.sum("n").alias("n"))))
+    told = told.join(heads_of, ["state", "place", "street"], "left").withColumn("street", F.coalesce("head", "street"))
+    found = identified(told, of)
+    return found.select(*of, "state", "place", digest(*map(F.col, ("state", "place", "number", "entry"))).alias("location"))
 
 
 def gazetteer(read: DataFrame, cut) -> DataFrame:
-    """(reading, state, place, location) of every different reading of read_rows' rows.
+    """(reading, state, place, location) of every different reading of read_rows' rows that states an address.
 
     Rows that were read the same are made one with their number first, as registries repeat themselves from
-    edition to edition. location is a digest of state, town, house number and street identifier, null
-    where no street address with a number is stated.
+    edition to edition.
     """
     d = read.groupBy("reading", *READING).agg(F.count(F.lit(1)).alias("n"))
-    r = cut(with_locality(d))
-    told = with_identifier(with_street(r.where("number is not null"))).withColumn("location", F.xxhash64("state", "place", "number", "entry"))
-    silent = r.where("number is null").withColumn("location", F.lit(None).cast("bigint"))
-    columns = ["reading", "state", "place", "location"]
-    return cut(told.select(*columns).unionByName(silent.select(*columns)))
+    return cut(located(cut(d.join(places_of(read, cut), ["state", "zip", "town"])), ["reading"], cut))
 
 
 def same_location_pairs(found: DataFrame) -> DataFrame:

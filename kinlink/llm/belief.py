@@ -25,27 +25,36 @@ def sigmoid(c: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-F.greatest(F.least(c, F.lit(500.0)), F.lit(-500.0))))
 
 
-def one_to_one(edges: DataFrame, cut, rounds: int = 30, eps: float = 0.05, damping: float = 0.0) -> DataFrame:
+def one_to_one(edges: DataFrame, cut, rounds: int = 200, eps: float = 0.05) -> DataFrame:
     """(l, r, p): the marginal probability of each candidate pair (l, r, odds).
 
     odds are the log odds of the pair by its own evidence. Each node on either side takes part in one
     pair at most: its factor tells a pair minus log(1 + sum of exp(evidence and message from the other
-    side) over its other pairs). Messages go to and fro by aggregates and joins on the nodes, damped,
-    until none moves by eps, at most rounds times; the lineage is cut in each. Pairs that compete with none keep their own probability. Null nodes or odds drop out,
-    repeated pairs count once with their best odds; an empty table gives no rows.
+    side) over its other pairs). Messages go to and fro by aggregates and joins on the nodes until none moves
+    by eps; the lineage is cut in each round. From the first round whose largest move is no smaller than
+    that before, messages are damped by half. For one-to-one factors they are known to converge; should they not in
+    so many rounds, an error says so, and no unfinished result is given. Pairs that compete with none keep their own
+    probability. Null nodes or odds drop out, repeated pairs count once with their best odds; an empty table gives no rows.
     """
     e = edges.where("l is not null and r is not null and odds is not null").groupBy("l", "r").agg(F.max("odds").alias("odds"))
     lonely = lambda x: e.groupBy(x).agg(F.count(F.lit(1)).alias(f"n{x}"))
     e = cut(e.join(lonely("l"), "l").join(lonely("r"), "r"))
     alone = e.where("nl = 1 and nr = 1").select("l", "r", sigmoid(F.col("odds")).alias("p"))
     d = e.where("nl > 1 or nr > 1").select("l", "r", "odds", F.lit(0.0).alias("a"), F.lit(0.0).alias("b"))
+    damping, before = 0.0, float("inf")
     for _ in range(rounds):
         new = _log_sum_others(d, "l", F.col("odds") + F.col("b"), "a2").withColumn("a2", damping * F.col("a") + (1 - damping) * F.col("a2"))
         new = _log_sum_others(new, "r", F.col("odds") + F.col("a2"), "b2").withColumn("b2", damping * F.col("b") + (1 - damping) * F.col("b2"))
         moved = F.greatest(F.abs(F.col("a2") - F.col("a")), F.abs(F.col("b2") - F.col("b")))
         d = cut(new.select("l", "r", "odds", moved.alias("moved"), F.col("a2").alias("a"), F.col("b2").alias("b")))
-        if (d.agg(F.max("moved")).first()[0] or 0.0) < eps:
+        most = d.agg(F.max("moved")).first()[0] or 0.0
+        if most < eps:
             break
+        if most >= before:
+            damping = 0.5
+        before = most
+    else:
+        raise RuntimeError(f"belief propagation still moves by {most} after {rounds} rounds")
     return alone.unionByName(d.select("l", "r", sigmoid(F.col("odds") + F.col("a") + F.col("b")).alias("p")))
 
 
@@ -56,8 +65,9 @@ def same_entity(pairs: DataFrame, cut) -> DataFrame:
     code that labels it, and each then takes the label of its label, so that the rounds grow with the
     logarithm of the longest chain. Codes in no pair have no row.
     """
-    p = pairs.select("registry", F.col("code_a").alias("x"), F.col("code_b").alias("y"))
-    p = cut(p.unionByName(p.select("registry", F.col("y").alias("x"), F.col("x").alias("y"))).distinct())
+    side = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+    p = pairs.select("registry", F.explode(F.array(side("code_a", "code_b"), side("code_b", "code_a"))).alias("p"))
+    p = cut(p.select("registry", "p.x", "p.y").distinct())
     label = p.groupBy("registry", "x").agg(F.least(F.min("y"), F.first("x")).alias("e"))
     while True:
         near = p.join(label.withColumnRenamed("x", "y"), ["registry", "y"]).groupBy("registry", "x").agg(F.min("e").alias("n"))

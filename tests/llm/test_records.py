@@ -1,3 +1,4 @@
+import datetime
 import itertools
 import math
 import random
@@ -7,9 +8,9 @@ from pyspark.sql import functions as F
 
 from kinlink.functions.values import STAND_INS
 from kinlink.llm import queries
-from kinlink.llm.addresses import gazetteer, read_rows, resolved, same_location_pairs
+from kinlink.llm.addresses import gazetteer, read_rows, resolved, same_location_pairs, street_heads
 from kinlink.llm.belief import one_to_one, same_entity
-from kinlink.llm.names import Trie, codes_together, name_pairs, names_agree, one_edit, read_name, with_name, with_places
+from kinlink.llm.names import Trie, codes_together, name_pairs, names_agree, one_edit, prefix_deletions, read_name, variants, with_name, with_places, within_edits
 from kinlink.llm.spelling import heads
 from kinlink.llm.streets import read_address
 from kinlink.llm.survivors import duplicated, survivors, votes
@@ -21,6 +22,8 @@ ADDRESSES = [
     ("100 N Oak St, P.O. Box 12", ("100", "n", "oak", "street", "")), ("Attn: Registrar, 100 N Oak St", ("100", "n", "oak", "street", "")), ("c/o Main Office 100 N Oak St", ("100", "n", "oak", "street", "")),
     ("100 N Oak St, Springdale", ("100", "n", "oak", "street", "")), ("16 State Hwy 7", ("16", "", "7", "highway", "")), ("16 7 Highway", ("16", "", "7", "highway", "")), ("5 Third Ave", ("5", "", "3rd", "avenue", "")),
     ("5 3RD AV", ("5", "", "3rd", "avenue", "")), ("7 Mt. Rose Ln.", ("7", "", "mountrose", "lane", "")), ("7 St Paul St", ("7", "", "saintpaul", "street", "")), ("7 S.W. Elm", ("7", "sw", "elm", "", "")),
+    ("12 Union Square", ("12", "", "union", "square", "")), ("12 Union Sq", ("12", "", "union", "square", "")), ("10-12 Oak St", ("10-12", "", "oak", "street", "")), ("12 1/2 Oak St", ("12½", "", "oak", "street", "")),
+    ("9 Oak Plz", ("9", "", "oak", "plaza", "")), ("9 Elm Xing", ("9", "", "elm", "crossing", "")), ("5 Rte 16", ("5", "", "16", "route", "")), ("3 Market Sq Ter", ("3", "", "marketsquare", "terrace", "")),
     ("8 Elm Rd #4", ("8", "", "elm", "road", "4")), ("Elm Rd #8", ("8", "", "elm", "road", "")),
 ]
 
@@ -42,7 +45,7 @@ def test_very_long_address():
 def located(spark, data):
     d = spark.createDataFrame(data, "id bigint, state string, city string, zip string, street string, location int")
     read = read_rows(d.withColumnRenamed("location", "clash"))
-    known = gazetteer(read, cut).where("location is not null")
+    known = gazetteer(read, cut)
     return sorted(map(tuple, same_location_pairs(read.select("id", "reading").join(known, "reading")).collect()))
 
 
@@ -63,6 +66,31 @@ def test_misspelled_street_and_town(spark):
     assert located(spark, data) == [(3, 20), (4, 21), (5, 22)]
 
 
+def test_streets_are_clustered_within_their_locality(spark):
+    at = lambda town, zip_code, street, first, n: [(first + i, "NY", town, zip_code, f"{i + 1} {street} St", 0) for i in range(n)]
+    data = at("Ayton", "11111", "Barton", 0, 9) + at("Beeton", "22222", "Darton", 100, 2) + at("Ceeton", "33333", "Darton", 200, 2) + at("Ayton", "11111", "Bartno", 300, 1)
+    # a misspelled street joins the one of its town; a street of other towns isn't replaced by one that they don't have
+    assert located(spark, data) == [(0, 300)]
+    e = spark.createDataFrame([("NY", "a", "barton", 9), ("NY", "a", "bartno", 1), ("NY", "b", "darton", 2), ("NY", "c", "darton", 2), ("NY", "a", "darton", 1)], "state string, place string, street string, n bigint")
+    assert sorted(map(tuple, street_heads(e).collect())) == [("NY", "a", "bartno", "barton")]
+
+
+def test_type_that_is_part_of_the_name():
+    r = resolved([("market", "", "square", "1", 1), ("marketsquare", "", "terrace", "1", 2)])
+    assert len(set(r.values())) == 1
+    r = resolved([("market", "", "square", "1", 1), ("marketsquare", "", "terrace", "1", 2), ("marketsquare", "", "road", "1", 2)])
+    assert len(set(r.values())) == 3
+
+
+def test_units_stand_beside_the_location(spark, tmp_path):
+    spark.createDataFrame([(1, "1", "A", "B", "100 N Oak St Ste 4", "Ayton", "NY", "11111")], "rec_id bigint, ceeb string, full_name string, name string, address string, city string, state_abbr string, zip string").write.parquet(f"{tmp_path}/ceeb_school.parquet")
+    spark.createDataFrame([(2, "9", "A", "Oak St North 100", "Ayton", "NY", "11111", 2024)], "rec_id bigint, ncessch string, name string, street string, city string, state string, zip string, edition int").write.parquet(f"{tmp_path}/nces_public.parquet")
+    spark.createDataFrame([(3, 7, "A", "PO Box 3", "Ayton", "NY", "11111", 2024)], "rec_id bigint, unitid int, instnm string, addr string, city string, stabbr string, zip string, edition int").write.parquet(f"{tmp_path}/ipeds_hd.parquet")
+    got = sorted(map(tuple, queries.p1_places(spark, str(tmp_path)).select("rec_id", "unit", "location").collect()))
+    assert [x[:2] for x in got] == [(1, "4"), (2, "")] and got[0][2] == got[1][2]
+    assert [tuple(r) for r in queries.p1_found(spark, str(tmp_path)).collect()] == [(1, 2)]
+
+
 def test_beam():
     r = resolved([("oak", "n", "street", "1", 3), ("oak", "", "street", "1", 1), ("oak", "n", "", "1", 1), ("elm", "", "", "1", 1)])
     assert len({r[k] for k in r if k[0] == "oak"}) == 1 and r["elm", "", "", "1"] == "elm||"
@@ -117,7 +145,7 @@ def test_automaton_against_brute_force():
     for k, q in itertools.product((0, 1, 2), sorted(words)[:60]):
         assert sorted(set(t.within(q, k))) == sorted(w for w in words if osa(q, w) <= k)
     for a, b in itertools.product(sorted(words)[:40], repeat=2):
-        assert one_edit(a, b) == (osa(a, b) <= 1)
+        assert one_edit(a, b) == (osa(a, b) <= 1) and [within_edits(a, b, k) for k in (0, 1, 2)] == [osa(a, b) <= k for k in (0, 1, 2)]
 
 
 def test_codes_together(spark):
@@ -133,6 +161,39 @@ def test_codes_together(spark):
     assert codes_together(with_places(name_pairs(names.limit(0), cut), places)).collect() == []
 
 
+def test_kind_and_number_are_evidence(spark):
+    n = [("1", "Lincoln"), ("2", "Lincoln High School"), ("3", "Lincoln Middle School"), ("4", "Lincoln HS 12"), ("5", "Lincoln HS No. 13"), ("6", "Lincoln Charter High")]
+    names = with_name(spark.createDataFrame([("r", c, "NY", "x", m) for c, m in n], "registry string, code string, state string, place string, name string"), "name")
+    got = {(r.code_a, r.code_b): r.agree for r in name_pairs(names, cut).collect()}
+    assert {p: a for p, a in got.items() if p[0] == "1"} == {("1", "2"): 0.8, ("1", "3"): 0.8, ("1", "4"): 0.6, ("1", "5"): 0.6, ("1", "6"): 0.8}
+    assert ("2", "3") not in got and ("4", "5") not in got and got["2", "4"] == got["2", "6"] == 0.8
+    places = spark.createDataFrame([("r", "1", 10), ("r", "2", 10)], "registry string, code string, location bigint")
+    # a kind left out is no full agreement, so without a location it doesn't do
+    assert sorted(map(tuple, codes_together(with_places(name_pairs(names, cut), places)).collect())) == [("r", "1", "2")]
+
+
+def test_large_parts_are_split_without_loss(spark):
+    rnd = random.Random(4)
+    word = lambda: "".join(rnd.choice("abcde") for _ in range(rnd.randint(2, 8)))
+    typo = lambda w: w[:1] + w[2:] if rnd.random() < 0.5 else w[:-2] + w[-1:] + w[-2:-1]
+    base = [" ".join(word() for _ in range(rnd.randint(1, 3))) for _ in range(150)]
+    data = [(f"{i}", n) for i, n in enumerate(base)] + [(f"t{i}", " ".join(map(typo, reversed(n.split())))) for i, n in enumerate(base)]
+    # a third of all names in one town
+    rows = [("r", c, "NY", "x" if i % 3 == 0 else f"y{i % 5}", n + " High School") for i, (c, n) in enumerate(data)] + [("r", c, "NY", "x", n) for c, n in data]
+    names = cut(with_name(spark.createDataFrame(rows, "registry string, code string, state string, place string, name string"), "name"))
+    n = names.select(F.concat_ws("|", "state", "place").alias("shard"), "code", "kind", "core", "key", "number")
+    whole = sorted(map(tuple, variants(n).collect()))
+    assert sorted(map(tuple, variants(n, part_names=20).collect())) == whole and len(whole) > 100
+
+
+def test_prefix_deletions_meet_within_the_bound():
+    rnd = random.Random(6)
+    words = ["".join(rnd.choice("ab") for _ in range(rnd.randint(3, 9))) for _ in range(120)]
+    for a, b in itertools.product(words[:60], words):
+        if (d := osa(a, b)) <= 2:
+            assert prefix_deletions(a, d) & prefix_deletions(b, d)
+
+
 def test_codes_without_location(spark):
     n = [
         ("r", "1", "Richard Kirwells Academy"), ("r", "1", "Richard Kirwlels Academy"), ("r", "2", "R Kirwells Academy"), ("r", "3", "Richard Stavwicke Academy"), ("r", "3", "Stavwicke Academy"), ("r", "4", "James Stavwicker Academy"), ("r", "4", "J Stavwicker Academy"),
@@ -143,7 +204,7 @@ def test_codes_without_location(spark):
     pairs = cut(with_places(name_pairs(names, cut), places))
     # 3 and 4 contradict each other in their given names; 6 may be 5 or 7
     assert {("r", "3", "4"), ("r", "5", "6"), ("r", "6", "7")} <= {(r.registry_a, r.code_a, r.code_b) for r in pairs.collect()}
-    assert sorted(map(tuple, codes_together(pairs, names).collect())) == [("r", "1", "2")]
+    assert sorted(map(tuple, codes_together(pairs, names, cut).collect())) == [("r", "1", "2")]
 
 
 def test_long_names_in_another_order(spark):
@@ -181,6 +242,14 @@ def test_belief_with_loops_prefers_the_better_matching(spark):
     assert max(best, key=best.get) == max(got, key=got.get) and got["b", "x"] > 0.5 > got["a", "x"]
 
 
+def test_unfinished_beliefs_are_an_error(spark):
+    d = spark.createDataFrame([(l, r, 2.0) for l in "abc" for r in "xyz"], "l string, r string, odds double")
+    p = [r.p for r in one_to_one(d, cut, eps=1e-6).collect()]
+    assert len(p) == 9 and max(p) - min(p) < 1e-5
+    with pytest.raises(RuntimeError, match="still moves"):
+        one_to_one(d, cut, rounds=2, eps=1e-6)
+
+
 def test_same_entity(spark):
     d = spark.createDataFrame([("r", "b", "c"), ("r", "a", "b"), ("r", "x", "y"), ("q", "c", "d"), ("r", "b", "c")], "registry string, code_a string, code_b string")
     got = sorted(map(tuple, same_entity(d, cut).collect()))
@@ -221,6 +290,23 @@ def test_many_old_votes_outweigh_one_new_with_a_long_half_life(spark):
     assert survivors(d, ["f"], 10.0).first().f == "new" and survivors(d, ["f"], None).first().f == "new"
 
 
+@pytest.mark.parametrize("half_life", [0.01, 1.0, 7.3, 90.0, 4000.0])
+def test_votes_against_plain_sums(spark, half_life):
+    rnd = random.Random(8)
+    data = [(f"k{rnd.randint(1, 12)}", i, f"20{rnd.randint(10, 24)}-0{rnd.randint(1, 9)}-1{rnd.randint(0, 9)}", rnd.choice([0.3, 1.0, 2.5]), rnd.choice("xyz"), None) for i in range(200)]
+    want: dict = {}
+    for g, _, at, trust, v, _ in data:
+        days = (datetime.date.fromisoformat(at) - datetime.date(2030, 1, 1)).days
+        want.setdefault(g, {}).setdefault(v, []).append(math.log2(trust) + days / half_life)
+    best = {g: max(vs, key=lambda v: max(vs[v]) + math.log2(sum(2.0 ** (x - max(vs[v])) for x in vs[v]))) for g, vs in want.items()}
+    assert {r.grp: r.value for r in votes(people(spark, data), {"f": STAND_INS}, half_life).collect()} == best
+
+
+def test_trust_overturns_recency(spark):
+    data = [("k", 1, "2024-01-01", 1.0, "trusted", None), ("k", 2, "2024-03-01", 0.5, "newer", None)]
+    assert survivors(people(spark, data), ["f"], 730.0).first().f == "trusted" and survivors(people(spark, data), ["f"], 30.0).first().f == "newer"
+
+
 def test_p2_best_lets_registries_vote_together(spark, tmp_path):
     def write(name, columns, data):
         d = spark.createDataFrame(data, columns)
