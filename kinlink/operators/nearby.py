@@ -50,26 +50,37 @@ def haversine_m(y1: Column, x1: Column, y2: Column, x2: Column) -> Column:
 
 
 def near_pairs(points: DataFrame, radius_m: float) -> DataFrame:
-    """(key_a, key_b), key_a < key_b, of points (id, y, x) at most radius_m apart.
-
-    Grid cells are as high as the radius and as wide as it at the box's northern edge, where a
-    degree of longitude is shortest, so a neighbour lies in one of the nine cells around. Each
-    point is sent to its cell and to half of the cells around; two points meet in one cell
-    once. Repeated rows give a pair once; points without position have no neighbours. The work
-    is in proportion to the points and the pairs that come out, as a cell is no larger than the
-    radius; cells of many points are split by adaptive execution's skew join.
+    """(key_a, key_b), key_a < key_b, of points (id, y, x) at most radius_m apart, anywhere on the globe.
+
+    Rows of the grid are as high as the radius. Each row has cells of its own width: at least the difference in
+    longitude that two points so near each other can have in the row and those beside it, so a neighbour lies in one of the nine cells
+    around; they close over the 180th meridian. Each point is sent to its cell, the next one of its row
+    and three of the row above; two points meet in one cell once. Repeated rows give a pair once; points without
+    position have no neighbours. The work is in proportion to the points and the pairs that come out, as a cell is about
+    as large as the radius; cells of many points are split by adaptive execution's skew join.
     """
     tall = radius_m / DEGREE_M * 1.000001
-    wide = tall / math.cos(math.radians(LATITUDES[1]))
+    lon = F.pmod(F.col("x") + 180.0, F.lit(360.0))
+
+    def cells(row: Column) -> Column:
+        """How many cells a row has."""
+        most = F.least(F.greatest(F.abs((row - 1) * tall), F.abs((row + 2) * tall)), F.lit(90.0))
+        reach = 2 * F.degrees(F.asin(F.least(F.lit(math.sin(radius_m / EARTH_M / 2)) / F.greatest(F.cos(F.radians(most)), F.lit(1e-12)), F.lit(1.0)))) * 1.000001
+        return F.greatest(F.floor(360.0 / reach), F.lit(1)).cast("long")
+
+    def column(n: Column) -> Column:
+        return F.least(F.floor(lon / (360.0 / n)).cast("long"), n - 1)
+
     p = points.where("y is not null and x is not null").select("id", "y", "x").distinct()
-    cy, cx = F.floor(F.col("y") / tall).cast("long"), F.floor(F.col("x") / wide).cast("long")
-    p = p.withColumn("cy", cy).withColumn("cx", cx)
+    p = p.withColumn("cy", F.floor(F.col("y") / tall).cast("long")).withColumns({"n": cells(F.col("cy")), "up": cells(F.col("cy") + 1)})
+    p = p.withColumns({"cx": column(F.col("n")), "ux": column(F.col("up"))})
     home = p.select("cy", "cx", F.col("id").alias("a"), F.col("y").alias("ay"), F.col("x").alias("ax"))
-    half = F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for dy, dx in ((0, 0), (0, 1), (1, -1), (1, 0), (1, 1))])
-    away = p.withColumn("d", F.explode(half)).select(
-        (F.col("cy") + F.col("d.dy")).alias("cy"), (F.col("cx") + F.col("d.dx")).alias("cx"),
-        (F.abs(F.col("d.dy")) + F.abs(F.col("d.dx")) == 0).alias("own"), F.col("id").alias("b"), F.col("y").alias("by"), F.col("x").alias("bx"),
-    )
+    at = lambda cy, cx, own: F.struct(cy.alias("cy"), cx.alias("cx"), F.lit(own).alias("own"))
+    # in a row of two cells each is next to the other, which is the same pair of cells
+    beside = F.when((F.col("n") > 2) | ((F.col("n") == 2) & (F.col("cx") == 0)), at(F.col("cy"), F.pmod(F.col("cx") + 1, F.col("n")), False))
+    above = [at(F.col("cy") + 1, F.pmod(F.col("ux") + d, F.col("up")), False) for d in (-1, 0, 1)]
+    away = p.withColumn("c", F.explode(F.array_distinct(F.array_compact(F.array(at(F.col("cy"), F.col("cx"), True), beside, *above)))))
+    away = away.select("c.*", F.col("id").alias("b"), F.col("y").alias("by"), F.col("x").alias("bx"))
     j = home.join(away, ["cy", "cx"]).where((~F.col("own") & (F.col("a") != F.col("b"))) | (F.col("a") < F.col("b")))
     j = j.where((F.abs(F.col("ay") - F.col("by")) <= tall) & (haversine_m(F.col("ay"), F.col("ax"), F.col("by"), F.col("bx")) <= radius_m))
     return j.select(F.least("a", "b").alias("key_a"), F.greatest("a", "b").alias("key_b"))

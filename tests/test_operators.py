@@ -124,17 +124,20 @@ def test_restored(spark):
     assert [(r.y, r.x) for r in restored(d, "a", "b").collect()] == [(30.0, -90.0)] * 4 + [(None, None)] * 3
 
 
-def test_near_pairs_against_brute_force(spark):
-    rnd = random.Random(7)
-    pts = [(i, 49.9 + rnd.random() * 0.02, -80 + rnd.random() * 0.02) for i in range(400)] + [(1000, 30.0, -90.0), (1001, 30.0, -90.0), (1001, 30.0, -90.0), (1002, None, -90.0)]
-    got = rows(near_pairs(spark.createDataFrame(pts, "id bigint, y double, x double"), 150.0))
+def distance(p, q):
+    r = math.radians
+    h = math.sin(r(q[1] - p[1]) / 2) ** 2 + math.cos(r(p[1])) * math.cos(r(q[1])) * math.sin(r(q[2] - p[2]) / 2) ** 2
+    return 2 * EARTH_M * math.asin(math.sqrt(min(1, h)))
 
-    def dist(p, q):
-        r = math.radians
-        h = math.sin(r(q[1] - p[1]) / 2) ** 2 + math.cos(r(p[1])) * math.cos(r(q[1])) * math.sin(r(q[2] - p[2]) / 2) ** 2
-        return 2 * EARTH_M * math.asin(math.sqrt(h))
 
-    want = [(p[0], q[0]) for p in pts[:400] for q in pts[:400] if p[0] < q[0] and dist(p, q) <= 150] + [(1000, 1001)]
+@pytest.mark.parametrize("y, x", [(49.9, -80.0), (65.0, 20.0), (-65.01, -0.01), (-0.01, 0.0), (12.0, 179.99), (70.0, 179.95), (89.99, 0.0), (-89.999, 0.0)])
+def test_near_pairs_against_brute_force(spark, y, x):
+    rnd = random.Random(7)
+    wide = min(0.02 / math.cos(math.radians(min(90, abs(y)))), 360)
+    pts = [(i, max(-90.0, min(90.0, y + rnd.random() * 0.02)), (x + rnd.random() * wide + 180) % 360 - 180) for i in range(400)]
+    more = [(1000, 30.0, -90.0), (1001, 30.0, -90.0), (1001, 30.0, -90.0), (1002, None, -90.0)]
+    got = rows(near_pairs(spark.createDataFrame(pts + more, "id bigint, y double, x double"), 150.0))
+    want = [(p[0], q[0]) for p in pts for q in pts if p[0] < q[0] and distance(p, q) <= 150] + [(1000, 1001)]
     assert got == sorted(want, key=str) and len(got) > 100
 
 
