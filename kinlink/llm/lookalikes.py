@@ -1,11 +1,11 @@
 """One consistent form of texts that look the same in other characters.
 
-A word is walked through a trie of the corpus' clean spellings by an edit automaton in which
-exchanging look-alike letters and skipping invisible characters cost nothing; the spelling it
-reaches is the word's canonical one. Words the trie doesn't hold, and all that is no word, are
-normalised by table. Both give one form to everything that looks alike: a spelling reached at
-no cost differs from the word in look-alikes and invisible characters alone, so every member of
-a look-alike class reaches the same spelling, or none of them does.
+The vocabulary of a corpus is every word that is spelled cleanly somewhere: composed letters of one script. A word
+that might be another's look-alike is walked through tries of the vocabulary by an edit automaton in which
+exchanging look-alike letters and skipping invisible characters cost nothing; the spellings it reaches are
+what it may stand for. Of several scripts (cop, \u0441\u043e\u0440) the text's own decides, which is told by the letters no other script
+has, as these are the same in all texts that look alike. Words that reach no spelling, and all that is no word,
+are normalised by table. Both give one form to everything that looks alike, and leave cleanly spelled texts as they are.
 """
 
 from __future__ import annotations
@@ -54,19 +54,8 @@ def _letter_class() -> str:
 
 
 _FOREIGN = _letter_class()
-# a run of letters from its first one that is not ASCII on
-_FOREIGN_ON = re.compile(rf"[{_FOREIGN}][A-Za-z{_FOREIGN}]*+")
-
-
-def foreign_words(s: str) -> Iterator[tuple[int, int]]:
-    """Where the runs of letters lie of which at least one is not ASCII."""
-    last = 0
-    for m in _FOREIGN_ON.finditer(s):
-        start, end = m.span()
-        while start > last and (c := s[start - 1]).isascii() and c.isalpha():
-            start -= 1
-        last = end
-        yield start, end
+_RUN = re.compile(rf"[A-Za-z{_FOREIGN}]+")
+_ASCII_RUN = re.compile("[A-Za-z]+").findall
 
 
 _BY_TABLE = re.compile("[" + "".join(re.escape(chr(c)) for c in _TABLE if c < 0x10000) + "]")
@@ -91,41 +80,92 @@ def _script(c: str) -> str:
     return unicodedata.name(c, "?").split()[0]
 
 
+LATIN = "LATIN"
+# the class of each look-alike letter, and of each class the letter a script is written with: its first, should it have two
+_CLASS = {c: latin for latin, chars in LOOK_ALIKES.items() for c in (latin, *chars)}
+_OF_SCRIPT: dict[tuple[str, str], str] = {}
+for _c, _latin in _CLASS.items():
+    _OF_SCRIPT.setdefault((_latin, _script(_c)), _c)
+_ALIKE = {c: (latin, *LOOK_ALIKES[latin]) for c, latin in _CLASS.items()}
+
+
+@lru_cache(maxsize=200_000)
+def own_script(c: str) -> str | None:
+    """The script of a letter that no other script's looks like; None for all other characters."""
+    base = spelled(c)[:1]
+    return _script(base) if base and base not in _CLASS and unicodedata.category(base)[0] == "L" and base not in IGNORED else None
+
+
+def text_script(s: str) -> str:
+    """The script of most letters that tell one, Latin if there are none. The same for all texts that look alike."""
+    scripts: Counter = Counter()
+    for c, n in Counter(s).items():
+        if (x := own_script(c)) is not None:
+            scripts[x] += n
+    return min(scripts, key=lambda x: (-scripts[x], x)) if scripts else LATIN
+
+
 def is_clean(word: str) -> bool:
-    """A spelling fit to be canonical: composed letters of one script, none of them invisible or a compatibility form."""
+    """A spelling fit to be canonical: composed letters of one script as it is written with, none of them invisible or a compatibility form."""
+    if word.isascii():
+        return True
     if any(c in IGNORED or ord(c) in _COMPAT for c in word) or not unicodedata.is_normalized("NFC", word):
         return False
-    return len({_script(c) for c in word}) == 1
+    letters = [c for c in spelled(word) if unicodedata.category(c)[0] != "M"]
+    scripts = {_script(c) for c in letters}
+    return len(scripts) == 1 and all(_OF_SCRIPT[_CLASS[c], _script(c)] == c for c in letters if c in _CLASS)
+
+
+@lru_cache(maxsize=300_000)
+def is_settled(word: str) -> bool:
+    """Whether the word's own form is canonical in any text, as no other clean spelling looks like it."""
+    if not word.isascii() and (any(c in IGNORED or ord(c) in _COMPAT for c in word) or not unicodedata.is_normalized("NFC", word)):
+        return False
+    letters = [c for c in (word if word.isascii() else spelled(word)) if unicodedata.category(c)[0] != "M"]
+    alike = [c in _CLASS for c in letters]
+    return not any(alike) or (not all(alike) and is_clean(word))
+
+
+def by_table(word: str, script: str) -> str:
+    """The word without invisible characters, look-alikes exchanged for letters of one script: that of the word's own letters,
+    else the text's; Latin where that script lacks one of them."""
+    bare = skeleton(word)
+    letters = unicodedata.normalize("NFD", bare)
+    own = {x for c in letters if (x := own_script(c))}
+    to = next(iter(own)) if len(own) == 1 else script
+    if all((c, to) in _OF_SCRIPT for c in letters if c in LOOK_ALIKES):
+        bare = unicodedata.normalize("NFC", "".join(_OF_SCRIPT.get((c, to), c) for c in letters))
+    return bare
 
 
 class Trie:
-    """Spellings by letter; the end of one is under the empty key as (-count, spelling)."""
+    """Spellings by letter; the end of one is under the empty key as a list of (-count, spelling)."""
 
-    def __init__(self, counts: dict[str, int]):
+    def __init__(self):
         self.root: dict = {}
-        for w, n in counts.items():
-            node = self.root
-            for c in spelled(w):
-                node = node.setdefault(c, {})
-            node[""] = min(node.get("", (-n, w)), (-n, w))
 
-    def nearest(self, word: str, most: float = 0.0, cost: float = 1.0) -> str | None:
-        """The spelling of least weight from word, of equals the most frequent, then the first in order.
+    def add(self, word: str, n: int) -> None:
+        node = self.root
+        for c in spelled(word):
+            node = node.setdefault(c, {})
+        node.setdefault("", []).append((-n, word))
+
+    def reached(self, word: str, most: float = 0.0, cost: float = 1.0) -> list[tuple[float, int, str]]:
+        """(weight, -count, spelling) of all spellings of weight most at most from word, the least first.
 
         Weights: look-alike letters and skipped invisible characters 0; any other letter exchanged,
-        left out or put in cost. None if all weigh more than most.
+        left out or put in cost.
         """
-        letters = spelled(word)
-        best: tuple | None = None
+        letters, best = spelled(word), {}
         todo, seen = [(0.0, 0, self.root)], {}
         while todo:
             w, i, node = todo.pop()
-            if w > most or (best and w > best[0]) or seen.get((i, id(node)), most + 1) <= w:
+            if w > most or seen.get((i, id(node)), most + 1) <= w:
                 continue
             seen[i, id(node)] = w
             if i == len(letters):
-                if "" in node and (best is None or (w, *node[""]) < best):
-                    best = (w, *node[""])
+                for n, spelling in node.get("", ()):
+                    best[spelling] = min(best.get(spelling, (w, n)), (w, n))
                 if w + cost <= most:
                     todo += [(w + cost, i, n) for c, n in node.items() if c]
                 continue
@@ -133,56 +173,56 @@ class Trie:
             if c in IGNORED:
                 todo.append((w, i + 1, node))
                 continue
-            for alike in _alike(c):
-                if alike in node:
-                    todo.append((w, i + 1, node[alike]))
+            alike = _ALIKE.get(c) or (c,)
+            todo += [(w, i + 1, node[x]) for x in alike if x in node]
             if w + cost <= most:
                 todo.append((w + cost, i + 1, node))
                 for d, n in node.items():
                     if d:
                         todo.append((w + cost, i, n))
-                        if d not in _alike(c):
+                        if d not in alike:
                             todo.append((w + cost, i + 1, n))
-        return best[2] if best else None
+        return sorted((*wn, x) for x, wn in best.items())
 
 
-_CLASSES: dict[str, tuple[str, ...]] = {}
-for _latin, _chars in LOOK_ALIKES.items():
-    for _c in (_latin, *_chars):
-        _CLASSES[_c] = (_latin, *_chars)
-
-
-def _alike(c: str) -> tuple[str, ...]:
-    return _CLASSES.get(c) or (c,)
+class Canonical:
+    """The consistent form of texts, by what the tries told about words. Forms of words are kept, words of them at most.
 
+    known: word -> the spellings it reaches, the most frequent first; a clean word that isn't there reaches but itself.
+    """
 
-class Canonical(dict):
-    """word -> canonical spelling, walked on first sight; emptied at most words entries."""
+    def __init__(self, known: dict[str, list[str]], words: int = 300_000):
+        self.known, self.words, self.forms = known, words, {}
 
-    def __init__(self, counts: dict[str, int], words: int = 300_000):
-        self.trie, self.words = Trie(counts), words
+    def word(self, word: str, script: str, known: dict[str, list[str]] | None = None) -> str:
+        if is_settled(word):
+            return word
+        reached = (self.known if known is None else known).get(word)
+        if not reached:
+            return word if is_clean(word) else by_table(word, script)
+        return next((x for x in reached if (LATIN if x.isascii() else _script(x[0])) == script), reached[0])
 
-    def __missing__(self, word: str) -> str:
-        table = skeleton(word)
-        out = table
-        # a class with an ASCII spelling has it as its canonical one, so ASCII words need no walk
-        if not table.isascii():
-            bare = "".join(c for c in word if c not in IGNORED)
-            out = self.trie.nearest(word) or self.trie.nearest(unicodedata.normalize("NFC", bare)) or table
-        if len(self) >= self.words:
-            self.clear()
-        if len(word) <= 64:
-            self[word] = out
-        return out
+    def text(self, s: str, known: dict[str, list[str]] | None = None) -> str:
+        """The consistent form of a whole text; blanks at line ends and empty lines at its end are dropped.
 
-    def text(self, s: str) -> str:
-        """The consistent form of a whole text; blanks at line ends and empty lines at its end are dropped."""
+        known: for this text alone, else that of the corpus.
+        """
         if not s.isascii():
-            parts, last = [], 0
-            for start, end in foreign_words(s):
-                parts += (s[last:start], self[s[start:end]])
-                last = end
-            s = "".join((*parts, s[last:]))
+            script = text_script(s)
+            forms = self.forms if known is None else {}
+
+            def form(m: re.Match) -> str:
+                key = script, m.group()
+                f = forms.get(key)
+                if f is None:
+                    f = self.word(key[1], script, known)
+                    if len(forms) >= self.words:
+                        forms.clear()
+                    if len(key[1]) <= 64:
+                        forms[key] = f
+                return f
+
+            s = _RUN.sub(form, s)
             if _BY_TABLE.search(s) or _BY_TABLE_BEYOND.search(s):
                 s = s.translate(_TABLE)
             s = s if unicodedata.is_normalized("NFC", s) else unicodedata.normalize("NFC", s)
@@ -195,98 +235,146 @@ class Canonical(dict):
         return s.rstrip(" \n")
 
 
-def spellings(df: DataFrame, text_col: str, most: int) -> DataFrame:
-    """(word, n): the most frequent clean non-ASCII spellings of all texts, most at most."""
+def words_of_corpus(df: DataFrame, text_col: str) -> DataFrame:
+    """(skeleton, word, clean, asked, n): all different words of all texts, the clean ones and those that aren't settled."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
-        clean: dict[str, bool] = {}
 
         def out() -> pa.RecordBatch:
-            kept = [w for w in seen if is_clean(w)]
-            return pa.RecordBatch.from_arrays([pa.array(kept, pa.string()), pa.array([seen[w] for w in kept], pa.int64())], ["word", "n"])
+            rows = [(w if w.isascii() else skeleton(w), w, is_clean(w), not is_settled(w), n) for w, n in seen.items()]
+            columns = zip(*rows) if rows else [[]] * 5
+            types = [pa.string(), pa.string(), pa.bool_(), pa.bool_(), pa.int64()]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["skeleton", "word", "clean", "asked", "n"])
 
         for b in batches:
             for t in b.column(0).to_pylist():
-                if t and not t.isascii():
-                    seen.update(t[a:z] for a, z in foreign_words(t) if z - a <= 64)
-            if len(seen) > 500_000:  # counts are summed again, so memory stays bounded
+                if t:
+                    seen.update(_ASCII_RUN(t) if t.isascii() else _RUN.findall(t))
+            if len(seen) > 200_000:  # counts are summed again, so memory stays bounded
                 yield out()
                 seen.clear()
         yield out()
 
-    w = df.select(text_col).where(F.col(text_col).isNotNull()).mapInArrow(count, "word string, n bigint")
-    return w.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most)
+    w = df.select(text_col).where(F.col(text_col).isNotNull()).mapInArrow(count, "skeleton string, word string, clean boolean, asked boolean, n bigint")
+    return w.groupBy("skeleton", "word", "clean", "asked").agg(F.sum("n").alias("n"))
 
 
-def _worker(counts):
-    """The table of one Python worker for a broadcast vocabulary."""
-    at = getattr(_worker, "kept", None)
-    if at is None or at[0] != counts.id:
-        _worker.kept = at = (counts.id, Canonical(counts.value))
-    return at[1]
+def spellings_reached(words: DataFrame, trie_words: int = 10_000) -> DataFrame:
+    """(word, reached): the clean spellings that words not settled reach at no cost, the most frequent first; clean words
+    that reach but themselves have no row.
 
+    words: of words_of_corpus. Spellings at no cost have the word's skeleton, so the vocabulary is spread by skeleton;
+    a task fills a trie with about trie_words spellings of whole skeletons, walks their words through it and begins another.
+    Nothing reaches the driver, and no word is left out.
+    """
+    asked = words.where("asked").select("skeleton").distinct()
+    d = words.join(asked, "skeleton", "left_semi").repartition("skeleton").sortWithinPartitions("skeleton", "word")
 
-class _Broadcast:
-    """A broadcast with a name of its own, so that a worker used again knows whether it has built the trie."""
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie, todo, size, last = Trie(), [], 0, None
 
-    def __init__(self, spark, counts: dict[str, int]):
-        self.id = hashlib.md5(repr(sorted(counts.items())).encode()).hexdigest()
-        self._b = spark.sparkContext.broadcast(counts)
+        def out() -> pa.RecordBatch:
+            rows = [(w, r) for w in todo if (r := [x for _, _, x in trie.reached(w)]) and r != [w]]
+            columns = zip(*rows) if rows else [[]] * 2
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.string(), pa.list_(pa.string())])], ["word", "reached"])
 
-    @property
-    def value(self) -> dict[str, int]:
-        return self._b.value
+        for b in batches:
+            for s, word, clean, is_asked, n in zip(*(b.column(k).to_pylist() for k in range(5))):
+                if s != last and size + len(todo) >= trie_words:
+                    yield out()
+                    trie, todo, size = Trie(), [], 0
+                last = s
+                if clean:
+                    trie.add(word, n)
+                    size += 1
+                if is_asked:
+                    todo.append(word)
+        yield out()
 
+    return d.select("skeleton", "word", "clean", "asked", "n").mapInArrow(walk, "word string, reached array<string>")
 
-def vocabulary(df: DataFrame, text_col: str, most: int = 50_000) -> _Broadcast:
-    """The trie's spellings. At most most of them (of 64 letters) reach the driver and the workers,
-    whatever the size of the corpus; words beyond are normalised by table, at no loss."""
-    rows = spellings(df, text_col, most).collect()
-    return _Broadcast(df.sparkSession, {r["word"]: r["n"] for r in rows})
 
+SMALL = 100_000
 
-def canonical_texts(df: DataFrame, id_col: str, text_col: str, most: int = 50_000) -> DataFrame:
-    """(id_col, text): the consistent form of each text; null stays null, an empty text empty."""
-    words, kind = vocabulary(df, text_col, most), dict(df.dtypes)[id_col]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = _worker(words)
+def with_words(df: DataFrame, id_col: str, text_col: str, reached: DataFrame) -> DataFrame:
+    """df's id and text with known, (word, reached) of the words of each text that aren't settled."""
+    kind = dict(df.dtypes)[id_col]
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [None if t is None else c.text(t) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], [id_col, "text"])
+            ids, found = [], []
+            for k, t in enumerate(b.column(1).to_pylist()):
+                if t and not t.isascii():
+                    w = {x for x in _RUN.findall(t) if not is_settled(x)}
+                    ids += [k] * len(w)
+                    found += w
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(ids, pa.int64())), pa.array(found, pa.string())], ["id", "word"])
 
-    return df.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, text string")
+    d = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    of = d.mapInArrow(asked, f"id {kind}, word string").distinct().join(reached, "word").groupBy(F.col("id").alias("_id")).agg(F.collect_list(F.struct("word", "reached")).alias("known"))
+    return d.join(of, F.col("id").eqNullSafe(F.col("_id")), "left").select("id", "text", "known")
 
 
-def look_keys(df: DataFrame, id_col: str, text_col: str, most: int = 50_000) -> DataFrame:
-    """(id, look, stored): digests of the consistent form and of the stored text; texts with nothing visible have no row."""
-    words, kind = vocabulary(df, text_col, most), dict(df.dtypes)[id_col]
+def _formed(df: DataFrame, id_col: str, text_col: str, cut, small: int, run, schema: str) -> DataFrame:
+    """run(canonical texts of a batch, batch) over all texts. Up to small words that aren't settled are broadcast, as their number is
+    counted first; beyond, each text gets those of its own by a join."""
+    reached = cut(spellings_reached(cut(words_of_corpus(df, text_col))))
+    if reached.count() <= small:
+        known = df.sparkSession.sparkContext.broadcast({r.word: list(r.reached) for r in reached.collect()})
+
+        def broadcast_form(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            c = Canonical(known.value)
+            for b in batches:
+                yield run([None if t is None else c.text(t) for t in b.column(1).to_pylist()], b)
+
+        return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(broadcast_form, schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = _worker(words)
+    def joined_form(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = Canonical({})
         for b in batches:
-            ids, looks, stored = [], [], []
-            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if t and _VISIBLE.search(form := c.text(t)):
-                    ids.append(i)
-                    looks.append(hashlib.md5(form.encode("utf-8", "surrogatepass")).digest())
-                    stored.append(hashlib.md5(t.encode("utf-8", "surrogatepass")).digest())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, b.schema.field(0).type), pa.array(looks, pa.binary()), pa.array(stored, pa.binary())], ["id", "look", "stored"])
+            texts = zip(b.column(1).to_pylist(), b.column(2).to_pylist())
+            yield run([None if t is None else c.text(t, {x["word"]: x["reached"] for x in k or ()}) for t, k in texts], b)
+
+    return with_words(df, id_col, text_col, reached).mapInArrow(joined_form, schema)
+
+
+def canonical_texts(df: DataFrame, id_col: str, text_col: str, cut, small: int = SMALL) -> DataFrame:
+    """(id_col, text): the consistent form of each text; null stays null, an empty text empty."""
+
+    def run(forms: list[str | None], b: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([b.column(0), pa.array(forms, pa.string())], [id_col, "text"])
+
+    return _formed(df, id_col, text_col, cut, small, run, f"`{id_col}` {dict(df.dtypes)[id_col]}, text string")
+
+
+def look_keys(df: DataFrame, id_col: str, text_col: str, cut, small: int = SMALL) -> DataFrame:
+    """(id, look, stored): digests of the consistent form and of the stored text; texts with nothing visible have no row."""
+
+    def run(forms: list[str | None], b: pa.RecordBatch) -> pa.RecordBatch:
+        at, looks, stored = [], [], []
+        for k, (form, t) in enumerate(zip(forms, b.column(1).to_pylist())):
+            if t and _VISIBLE.search(form):
+                at.append(k)
+                looks.append(hashlib.md5(form.encode("utf-8", "surrogatepass")).digest())
+                stored.append(hashlib.md5(t.encode("utf-8", "surrogatepass")).digest())
+        return pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), pa.array(looks, pa.binary()), pa.array(stored, pa.binary())], ["id", "look", "stored"])
 
-    return df.select(id_col, text_col).mapInArrow(run, f"id {kind}, look binary, stored binary")
+    return _formed(df, id_col, text_col, cut, small, run, f"id {dict(df.dtypes)[id_col]}, look binary, stored binary")
 
 
 def look_alike_pairs(keys: DataFrame) -> DataFrame:
     """(a, b), a < b, of ids with the same look but another stored text, from look_keys' rows.
 
-    Only looks with more than one stored text are joined (found by a pre-aggregated minimum and
-    maximum), so a text copied any number of times has no cost beyond its rows. Work and shuffle
-    are 40 bytes a document plus the pairs; looks shared by very many documents are split by
-    adaptive execution's skew join.
+    Different stored texts of one look are paired first, then their ids take the texts' places, so copies of a
+    text are never compared with each other: the work is the different texts and the pairs that come out.
+    Looks of one stored text leave early, by a pre-aggregated minimum and maximum.
     """
-    k = keys.dropDuplicates(["id"])
-    mixed = k.groupBy("look").agg(F.min("stored").alias("lo"), F.max("stored").alias("hi")).where("lo != hi").select("look")
-    k = k.join(mixed, "look")
-    a, b = (k.select("look", F.col("id").alias(n), F.col("stored").alias(f"s{n}")) for n in "ab")
-    return a.join(b, "look").where("a < b and sa != sb").select("a", "b")
+    mixed = keys.groupBy("look").agg(F.min("stored").alias("lo"), F.max("stored").alias("hi")).where("lo != hi").select("look")
+    k = keys.where("id is not null").join(mixed, "look").select("look", "stored", "id").distinct()
+    texts = k.select("look", "stored").distinct()
+    two = texts.withColumnRenamed("stored", "sa").join(texts.withColumnRenamed("stored", "sb"), "look").where("sa < sb")
+    two = two.join(k.select("look", F.col("stored").alias("sa"), F.col("id").alias("x")), ["look", "sa"])
+    two = two.join(k.select("look", F.col("stored").alias("sb"), F.col("id").alias("y")), ["look", "sb"])
+    return two.where("x != y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()

@@ -203,12 +203,12 @@ def p9_containers(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
-    keys = cut(look_keys(table(spark, d, "documents"), "doc_id", "text"))
+    keys = cut(look_keys(table(spark, d, "documents"), "doc_id", "text", cut))
     return look_alike_pairs(keys).select(F.col("a").alias("doc_a"), F.col("b").alias("doc_b"))
 
 
 def p10_texts(spark: SparkSession, d: str) -> DataFrame:
-    return canonical_texts(table(spark, d, "documents"), "doc_id", "text")
+    return canonical_texts(table(spark, d, "documents"), "doc_id", "text", cut)
 
 
 QUERIES = {"p1_found": p1_found, "p1_places": p1_places, "p2_found": p2_found, "p2_best": p2_best, "p4_found": p4_found, "p4_matches": p4_matches, "p7_found": p7_found, "p8_ids": p8_ids, "p9_containers": p9_containers, "p10_found": p10_found, "p10_texts": p10_texts}

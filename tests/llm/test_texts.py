@@ -1,5 +1,6 @@
 import random
 import unicodedata
+from collections import Counter
 
 import pytest
 from hypothesis import given, settings
@@ -132,10 +133,27 @@ SAME = [
 DIFFER = [("Word", "word"), ("cafe", "café"), ("10", "1O"), ("x2", "x²"), ("light", "1ight"), ("a b", "a  b"), ("- no", "— no"), ("é", "Ã©"), ("rn", "m"), ("Il", "lI"), ("a\nb", "a b"), ("ı", "i")]
 
 
+class Known(dict):
+    """What spellings_reached tells of each word, for a vocabulary of these words and counts."""
+
+    def __init__(self, counts):
+        self.trie = L.Trie()
+        for w, n in counts.items():
+            self.trie.add(w, n)
+
+    def get(self, word, other=None):
+        r = [x for _, _, x in self.trie.reached(word)]
+        return r if r and r != [word] else other
+
+
+def of_texts(*texts, **more):
+    words = Counter(w for t in texts for w in L._RUN.findall(t) if L.is_clean(w))
+    return L.Canonical(Known({**words, **more}))
+
+
 @pytest.fixture(scope="module")
 def canonical():
-    counts = {"Соседка": 5, "пришла": 4, "дождём": 3, "café": 2, "сор": 9}
-    return L.Canonical(counts)
+    return of_texts(*[x for p in SAME + DIFFER for x in p], сор=9, cop=2)
 
 
 @pytest.mark.parametrize("a, b", SAME)
@@ -151,35 +169,67 @@ def test_looks_different(canonical, a, b):
 def test_spelling_is_chosen(canonical):
     assert canonical.text("Сoceдкa") == "Соседка"
     assert canonical.text("ѕсһооl") == "school"
+    # both spellings are words: the text's own script decides, and clean texts stay as they are
+    for text in ("он подметал сор", "the big cop", "a cop", "сор", "мой код one"):
+        assert of_texts(text, сор=9, cop=2).text(text) == text or text == "сор"
+    assert canonical.text("он подметал cop") == canonical.text("он подметал сор") == "он подметал сор"
+    assert canonical.text("thе bіg сор") == "the big cop"
+    assert canonical.text("сор") == canonical.text("cop") == "cop"
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.text(alphabet="aаeеoоcсxхпшé́​ＡА ,1", max_size=12))
-def test_form_is_that_of_the_table(text):
-    """Equal forms are equal skeletons, whatever the vocabulary holds; and a form is its own form."""
-    few, none = L.Canonical({"пахсо": 3, "оé": 2, "сепша": 1}), L.Canonical({})
-    form = few.text(text)
-    assert L.Canonical({}).text(form) == none.text(text)
-    assert few.text(form) == form
+def test_rare_clean_words_keep_their_script():
+    # no vocabulary holds the word, and its own letters tell the script
+    assert L.Canonical({}).text("Соседка") == "Соседка" and L.Canonical({}).text("Coceдкa") == "Соседка"
+    assert L.Canonical({}).text("日本の映画") == "日本の映画" and L.Canonical({}).text("naïve") == "naïve"
 
 
-def test_weighted_automaton():
-    t = L.Trie({"капитан": 3, "капитал": 9})
-    assert t.nearest("кaпитaн") == "капитан"
-    assert t.nearest("капитам") is None
-    assert t.nearest("капитам", most=1) == "капитал"
-    assert t.nearest("ка​пита", most=1) == "капитал"
-    assert t.nearest("апитан", most=1) == "капитан"
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="aеoсxтbшé́​ＡА kж", max_size=12), st.randoms(use_true_random=False))
+def test_all_that_looks_alike_gets_one_form(text, rnd):
+    other = "".join(rnd.choice(L._ALIKE.get(c, (c,))) + rnd.choice(("", "", "\u200b")) for c in unicodedata.normalize("NFD", text))
+    third = "".join(rnd.choice(L._ALIKE.get(c, (c,))) for c in other)
+    c = of_texts(text, other, third, ехо=4, exo=1)
+    form = c.text(text)
+    assert c.text(other) == c.text(third) == form and c.text(form) == form
 
 
-def test_pairs(spark):
-    data = [(1, "Соседка"), (2, "Сoceдкa"), (3, "Соседка"), (4, None), (5, ""), (6, " ​"), (7, "﻿"), (8, "другое"), (8, "другое"), (9, "x " * 50_000), (10, "x " * 50_000)]
+def test_weighted_automaton():
+    t = L.Trie()
+    for w, n in {"капитан": 3, "капитал": 9}.items():
+        t.add(w, n)
+    nearest = lambda w, most=0.0: next((x for _, _, x in t.reached(w, most)), None)
+    assert nearest("кaпитaн") == "капитан"
+    assert nearest("капитам") is None
+    assert nearest("капитам", 1) == "капитал"
+    assert nearest("ка​пита", 1) == "капитал"
+    assert nearest("апитан", 1) == "капитан"
+
+
+@pytest.mark.parametrize("small", [0, 1000])
+def test_pairs(spark, small):
+    data = [(1, "Соседка"), (2, "Сoceдкa"), (3, "Соседка"), (4, None), (5, ""), (6, " ​"), (7, "﻿"), (8, "другое"), (8, "другое"), (9, "x " * 50_000), (10, "x\u00a0" * 50_000), (11, "сор"), (12, "cop"), (None, "сop"), (13, "он и сор"), (14, "он и cop")]
     d = spark.createDataFrame(data, "doc_id bigint, text string")
-    got = sorted(map(tuple, L.look_alike_pairs(L.look_keys(d, "doc_id", "text")).collect()))
-    assert got == [(1, 2), (2, 3), (9, 10)]
-    forms = dict(map(tuple, L.canonical_texts(d, "doc_id", "text").collect()))
-    assert forms[2] == "Соседка" and forms[4] is None and forms[5] == "" and forms[6] == ""
-    assert L.look_alike_pairs(L.look_keys(d.limit(0), "doc_id", "text")).collect() == []
+    got = sorted(map(tuple, L.look_alike_pairs(L.look_keys(d, "doc_id", "text", cut, small)).collect()))
+    assert got == [(1, 2), (2, 3), (9, 10), (11, 12), (13, 14)]
+    forms = dict(map(tuple, L.canonical_texts(d, "doc_id", "text", cut, small).collect()))
+    assert forms[2] == "Соседка" and forms[4] is None and forms[5] == "" and forms[6] == "" and forms[11] == "cop" and forms[14] == "он и сор"
+    assert L.look_alike_pairs(L.look_keys(d.limit(0), "doc_id", "text", cut, small)).collect() == []
+
+
+def test_tries_of_few_words_tell_the_same(spark):
+    rnd = random.Random(3)
+    words = ["".join(rnd.choice("aаeеoоcсxхдb") for _ in range(rnd.randint(1, 4))) for _ in range(600)]
+    d = cut(L.words_of_corpus(spark.createDataFrame([(" ".join(words[i : i + 20]),) for i in range(0, 600, 20)], "text string"), "text"))
+    told = lambda n: {r.word: r.reached for r in L.spellings_reached(d, n).collect()}
+    known = Known({r.word: r.n for r in d.where("clean").collect()})
+    assert told(7) == told(10_000) == {r.word: k for r in d.where("asked").collect() if (k := known.get(r.word))}
+
+
+def test_many_copies_and_one_look_alike(spark):
+    n = 10_000
+    keys = spark.range(n).select("id", F.lit("look").alias("look"), F.lit("a").alias("stored")).unionByName(spark.createDataFrame([(n, "look", "b")], "id bigint, look string, stored string"))
+    pairs = L.look_alike_pairs(keys)
+    assert pairs.count() == n and pairs.where(f"b != {n}").count() == 0
 
 
 def test_tables_are_nfc():
