@@ -10,6 +10,7 @@ from difflib import SequenceMatcher
 from itertools import combinations
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,15 +46,19 @@ def header_of(line: str | None, key_field: str = KEY_FIELD) -> tuple[str, list[s
     return None
 
 
+CHUNK = 10_000
+BLANKS = " \t\r\n\x0b\x0c\u00a0"
+
+
 def parsed(lines: DataFrame, key_field: str = KEY_FIELD) -> tuple[DataFrame, DataFrame]:
-    """(files, cells) from lines (series, file_name, edition, line_no, line).
+    """(files, body) from lines (series, file_name, edition, line_no, line).
 
     files: series, file_name, edition, nth (place in its series: by edition, then files without
     _rv first, then by name), delimiter, names. The header is the first line of a file that
-    names key_field; files without one are left out. cells: series, nth, unit (value of
-    key_field), field, value (trimmed; null if absent), a row for each field of each data
-    line. Lines before the header, comments, empty lines, lines without the header's number
-    of fields and lines stored twice are no data.
+    names key_field; files without one are left out. body: series, nth, line_no, names and values (trimmed; null if
+    absent) of each data line, side by side, so a line stays one row. Lines before the header, comments, empty lines,
+    lines without the header's number of fields and lines stored twice are no data. Only headers and lines with
+    quote marks go to Python; the others are split where they are.
     """
     d = lines.select("series", "file_name", "edition", "line_no", "line").where("series is not null and file_name is not null and line is not null")
 
@@ -66,34 +71,41 @@ def parsed(lines: DataFrame, key_field: str = KEY_FIELD) -> tuple[DataFrame, Dat
     h = h.groupBy("series", "file_name").agg(F.min(F.struct("line_no", "edition", "h")).alias("m"))
     h = h.select("series", "file_name", F.col("m.edition").alias("edition"), F.col("m.line_no").alias("header_no"), "m.h.delimiter", "m.h.names")
     late = F.lower("file_name").contains("_rv")
-    files = h.withColumn("nth", F.row_number().over(Window.partitionBy("series").orderBy("edition", late, "file_name")))
+    files = cut(h.withColumn("nth", F.row_number().over(Window.partitionBy("series").orderBy("edition", late, "file_name"))))
+
+    @F.arrow_udf("array<string>")
+    def quoted(line: pa.Array, delimiter: pa.Array) -> pa.Array:
+        cells = [None if a is None else cells_of_line(a, b) for a, b in zip(line.to_pylist(), delimiter.to_pylist())]
+        return pa.array(cells, pa.list_(pa.string()))
+
+    line = F.rtrim(F.replace("line", F.lit("\ufeff"), F.lit("")), F.lit("\r\n"))
+    # the lines of a file stay together, of a large file CHUNK at a time, so what is aggregated per file is small after each task
+    chunk = F.floor(F.col("line_no") / CHUNK).alias("chunk")
+    body = d.select("series", "file_name", "line_no", "line", chunk).repartition("series", "file_name", "chunk").distinct()
+    body = body.join(files, ["series", "file_name"]).where("line_no > header_no")
+    plain = F.split(line, F.concat(F.lit("["), "delimiter", F.lit("]")))
+    body = body.withColumn("q", quoted(F.when(F.col("line").contains('"'), F.col("line")), "delimiter")).withColumn("v", F.coalesce("q", plain))
+    value = lambda x: F.when(~F.btrim(x, F.lit(BLANKS)).isin(ABSENT), F.btrim(x, F.lit(BLANKS)))
+    body = body.where(F.size("v") == F.size("names")).select("series", "nth", "line_no", "names", F.transform("v", value).alias("values"))
+    return files, body
 
-    @F.pandas_udf("array<string>")
-    def values(line: pd.Series, delimiter: pd.Series) -> pd.Series:
-        return pd.Series([[x.strip() for x in cells_of_line(a, b)] for a, b in zip(line, delimiter)], dtype=object)
 
-    body = d.select("series", "file_name", "line_no", "line").distinct().join(files, ["series", "file_name"]).where("line_no > header_no")
-    body = body.withColumn("v", values("line", "delimiter")).where(F.size("v") == F.size("names"))
-    unit = F.try_element_at("v", F.array_position("names", F.lit(key_field)).cast("int"))
-    cells = body.select("series", "nth", unit.alias("unit"), "line_no", F.explode(F.arrays_zip(F.col("names").alias("n"), F.col("v").alias("x"))).alias("c"))
-    value = F.when(~F.col("c.x").isin(ABSENT), F.col("c.x"))
-    return files, cells.select("series", "nth", "unit", "line_no", F.col("c.n").alias("field"), value.alias("value"))
+def value_of(name: str | Column, names: str = "names") -> Column:
+    """The value of body's field name in a line, of the first if a header has it twice; null if it has none."""
+    return F.try_element_at("values", F.nullif(F.array_position(names, name), F.lit(0)).cast("int"))
 
 
-def kind_of(value: Column) -> Column:
-    """integer, decimal, text or null, over all present values of a group.
+def kind_code(value: Column) -> Column:
+    """0 for an integer, 1 for a decimal, 2 for text, null for null: the largest of a field's values tells its kind.
 
     A whole number written with a point (15029.0) is no integer as written and makes the field decimal.
     """
     whole = r"^-?(0|[1-9]\d*)$"
     dotted = r"^-?(0|[1-9]\d*)?\.\d+$|^-?(0|[1-9]\d*)\.$"
-    numeric = value.rlike(whole) | value.rlike(dotted)
-    return (
-        F.when(F.count(value) == 0, None)
-        .when(F.min(F.coalesce(value.rlike(whole), F.lit(True))), "integer")
-        .when(F.min(F.coalesce(numeric, F.lit(True))), "decimal")
-        .otherwise("text")
-    )
+    return F.when(value.rlike(whole), 0).when(value.rlike(dotted), 1).when(value.isNotNull(), 2)
+
+
+KINDS = ("integer", "decimal", "text")
 
 
 def content_key(value: Column) -> Column:
@@ -110,12 +122,15 @@ def name_likeness(a: str, b: str) -> float:
     return SequenceMatcher(None, re.sub(r"[^a-z0-9]", "", a), re.sub(r"[^a-z0-9]", "", b)).ratio()
 
 
-def flooded(a: list[str], b: list[str], a_next: dict[str, set[str]], b_next: dict[str, set[str]], start: dict[tuple[str, str], float], rounds: int = 50, eps: float = 1e-4) -> dict[tuple[str, str], float]:
+Pair = tuple[str, str]
+
+
+def flooded(a_next: dict[str, set[str]], b_next: dict[str, set[str]], start: dict[Pair, float], rounds: int = 1000, eps: float = 1e-4) -> dict[Pair, float]:
     """Similarity flooding (Melnik et al. 2002, the basic fixpoint with the start values kept).
 
     The pairs of nodes form the propagation graph: (x, y) feeds (x', y') where x' is beside x
     and y' beside y, a pair's score shared evenly among those it feeds. Scores are scaled by
-    the largest after each round; ends when no score moves by eps.
+    the largest after each round; ends when no score moves by eps. An error says so if they still do after so many rounds.
     """
     at = dict(start)
     feeds = {p: [(x, y) for x in a_next.get(p[0], ()) for y in b_next.get(p[1], ()) if (x, y) in start] for p in start}
@@ -130,18 +145,19 @@ def flooded(a: list[str], b: list[str], a_next: dict[str, set[str]], b_next: dic
         if max((abs(new[p] - at[p]) for p in new), default=0) < eps:
             return new
         at = new
-    return at
+    raise RuntimeError(f"scores still move after {rounds} rounds")
 
 
-def correspondences(old: list[dict], new: list[dict], shared: dict[tuple[str, str], tuple[int, int]], least: float = 0.5) -> list[tuple[str, str]]:
+def correspondences(old: list[dict], new: list[dict], shared: dict[Pair, tuple[int, int]], least: float = 0.6) -> list[Pair]:
     """The fields of new that carry on a field of old under another name.
 
-    old, new: fields with name, kind and n (present values). shared: of two field names how
-    many units have both present, and how many of those agree in content. The schema graph of
-    each side links every field to its kind and to the file (its nesting level); flooding starts
-    from content and name and raises pairs of like surroundings. Then the best pairs are taken
-    greedily, one to one; a pair stands if at least the share least of its common values agree.
-    A field with no common value is matched by name likeness alone, from 0.6.
+    old, new: the fields of two files in order, with name, kind and n (present values). shared: of two field names how
+    many units have both present, and how many of those agree in content. The schema graph of each side links
+    every field to its kind, to the file (its nesting level) and to the fields beside it. Fields of one name are the
+    anchors, with a start of 1; pairs of fields that went and came start from their share of common values that agree
+    and a little from their names, or, without common values, from their names alone. After flooding the best pairs
+    are taken one to one, the highest score first; a pair stands if its converged score is at least the share least of the
+    anchors' middle one.
     """
     kept = {f["name"] for f in old} & {f["name"] for f in new}
     a, b = ([f for f in side if f["name"] not in kept] for side in (old, new))
@@ -150,52 +166,59 @@ def correspondences(old: list[dict], new: list[dict], shared: dict[tuple[str, st
 
     def graph(side: list[dict]) -> dict[str, set[str]]:
         g: dict[str, set[str]] = {}
-        for f in side:
-            for x in ("#file", f"#{f['kind']}"):
+        for k, f in enumerate(side):
+            for x in ("#file", f"#{f['kind']}", *[side[k - 1]["name"]][: k > 0]):
                 g.setdefault(f["name"], set()).add(x)
                 g.setdefault(x, set()).add(f["name"])
         return g
 
-    start = {("#file", "#file"): 1.0}
-    start |= {(f"#{k}", f"#{m}"): 1.0 if k == m else 0.5 for k in {f["kind"] for f in a} for m in {f["kind"] for f in b}}
-    agree: dict[tuple[str, str], float | None] = {}
-    for x in a:
-        for y in b:
-            both, same = shared.get((x["name"], y["name"]), (0, 0))
-            agree[x["name"], y["name"]] = same / both if both else None
-            start[x["name"], y["name"]] = (same / both if both else 0.0) + 0.2 * name_likeness(x["name"], y["name"])
-    score = flooded([f["name"] for f in a], [f["name"] for f in b], graph(a), graph(b), start)
-    taken: set[str] = set()
+    start = {("#file", "#file"): 1.0, **{(k, k): 1.0 for k in kept}}
+    start |= {(f"#{k}", f"#{m}"): 1.0 if k == m else 0.5 for k in {f["kind"] for f in old} for m in {f["kind"] for f in new}}
+    pairs = [(x["name"], y["name"]) for x in a for y in b]
+    for p in pairs:
+        both, same = shared.get(p, (0, 0))
+        start[p] = same / both + 0.1 * name_likeness(*p) if both else name_likeness(*p)
+    score = flooded(graph(old), graph(new), start)
+    # a file without a field of the other's names has no anchor but itself
+    anchors = sorted(score[k, k] for k in kept) or [score["#file", "#file"]]
+    needed = least * anchors[len(anchors) // 2]
+    taken: set[Pair] = set()
     out = []
-    for (x, y), r in sorted(agree.items(), key=lambda p: (-score[p[0]], p[0])):
-        stands = r >= least if r is not None else name_likeness(x, y) >= 0.6
-        if stands and ("a", x) not in taken and ("b", y) not in taken:
-            taken |= {("a", x), ("b", y)}
-            out.append((x, y))
+    for p in sorted(pairs, key=lambda p: (-score[p], p)):
+        if score[p] >= needed and ("a", p[0]) not in taken and ("b", p[1]) not in taken:
+            taken |= {("a", p[0]), ("b", p[1])}
+            out.append(p)
     return out
 
 
-def drift(files: DataFrame, cells: DataFrame) -> DataFrame:
-    """(series, nth, field, old_field, what) of every file against the one before it.
+def drift(files: DataFrame, body: DataFrame) -> DataFrame:
+    """(series, nth, field, old_field, what) of every file against the one before it; files and body of parsed.
 
     what is kept, added, removed, renamed, and type where the kind of a kept or renamed field
-    differs (fields without present values have no kind). Content is compared by joins on the
-    unit; only counts for each pair of fields reach the matching, which holds the fields of
-    two files at a time. A value that occurs under several lines of a unit counts once.
+    differs (fields without present values have no kind). Kinds are aggregated where the lines are. Content is compared by
+    joins on the unit, and only of fields that went or came; only counts for each pair of fields reach the
+    matching, which holds the fields of two files at a time. A value that occurs under several lines of a unit counts once.
     """
-    fields = files.select("series", "nth", "file_name", F.explode(F.array_distinct("names")).alias("field")).where("field != ''")
-    kinds = cells.groupBy("series", "nth", "field").agg(kind_of(F.col("value")).alias("kind"), F.count("value").alias("n"))
-    fields = fields.join(kinds, ["series", "nth", "field"], "left")
-    per_file = fields.groupBy("series", "nth").agg(F.collect_list(F.struct(F.col("field").alias("name"), F.coalesce("kind", F.lit("none")).alias("kind"), F.coalesce("n", F.lit(0)).alias("n"))).alias("fields"))
+    cells = body.select("series", "nth", F.explode(F.arrays_zip(F.col("names").alias("name"), F.col("values").alias("value"))).alias("c"))
+    kinds = cells.where("c.value is not null and c.name != ''").groupBy("series", "nth", F.col("c.name").alias("field")).agg(F.max(kind_code(F.col("c.value"))).alias("code"), F.count(F.lit(1)).alias("n"))
+    kind = F.coalesce(F.element_at(F.array(*map(F.lit, KINDS)), F.col("code") + 1), F.lit("none"))
+    fields = files.select("series", "nth", F.posexplode(F.array_distinct("names")).alias("pos", "field")).where("field != ''")
+    fields = fields.join(kinds, ["series", "nth", "field"], "left").select("series", "nth", F.struct("pos", F.col("field").alias("name"), kind.alias("kind"), F.coalesce("n", F.lit(0)).alias("n")).alias("f"))
+    per_file = fields.groupBy("series", "nth").agg(F.array_sort(F.collect_list("f")).alias("fields"))
+    per_file = cut(per_file)
     prev = per_file.select("series", (F.col("nth") + 1).alias("nth"), F.col("fields").alias("old"))
     pairs = per_file.withColumnRenamed("fields", "new").join(prev, ["series", "nth"])
     names = lambda c: F.transform(c, lambda f: f["name"])
-    pairs = cut(pairs).withColumn("gone", F.array_except(names("old"), names("new"))).withColumn("come", F.array_except(names("new"), names("old")))
+    pairs = cut(pairs.withColumn("gone", F.array_except(names("old"), names("new"))).withColumn("come", F.array_except(names("new"), names("old"))))
     both = pairs.where((F.size("gone") > 0) & (F.size("come") > 0))
-    # only the cells of fields that went or came are compared; each cell is looked up once
-    gone = both.select("series", (F.col("nth") - 1).alias("nth"), F.col("nth").alias("pair"), F.lit("x").alias("side"), F.explode("gone").alias("field"))
-    come = both.select("series", "nth", F.col("nth").alias("pair"), F.lit("y").alias("side"), F.explode("come").alias("field"))
-    v = cells.where("value is not null and unit is not null").join(gone.unionByName(come), ["series", "nth", "field"])
+    # only the cells of fields that went or came are looked up; a file is the later of one pair and the earlier of another
+    both = both.withColumn("pair", F.col("nth"))
+    asked = lambda side, c: F.transform(c, lambda f: F.struct("pair", F.lit(side).alias("side"), f.alias("field"))).alias("asked")
+    gone = both.select("series", (F.col("pair") - 1).alias("nth"), asked("x", "gone"))
+    come = both.select("series", "nth", asked("y", "come"))
+    v = body.join(gone.unionByName(come).groupBy("series", "nth").agg(F.flatten(F.collect_list("asked")).alias("asked")), ["series", "nth"])
+    v = v.select("series", value_of(F.lit(KEY_FIELD)).alias("unit"), "names", "values", F.explode("asked").alias("a"))
+    v = v.select("series", "a.pair", "a.side", "unit", "a.field", value_of(F.col("a.field")).alias("value")).where("value is not null and unit is not null")
     v = cut(v.groupBy("series", "pair", "side", "unit", "field").agg(F.max(content_key(F.col("value"))).alias("value")))
     of = lambda x: v.where(F.col("side") == x).select("series", F.col("pair").alias("nth"), "unit", F.col("field").alias(x), F.col("value").alias(f"{x}v"))
     o, w = of("x"), of("y")
@@ -224,8 +247,8 @@ def drift(files: DataFrame, cells: DataFrame) -> DataFrame:
 
 def changes(lines: DataFrame) -> DataFrame:
     """(file_name, field, what): what of added, removed, renamed, type; see drift and parsed."""
-    files, cells = map(cut, parsed(lines))
-    d = drift(files, cells).where("what != 'kept'")
+    files, body = parsed(lines)
+    d = drift(files, cut(body)).where("what != 'kept'")
     name = files.select("series", "nth", "file_name")
     return d.join(name, ["series", "nth"]).select("file_name", F.coalesce("field", "old_field").alias("field"), "what").distinct()
 
@@ -311,8 +334,9 @@ def one_table(lines: DataFrame, wanted: dict[str, str]) -> DataFrame:
     Columns: series, file_name, edition, line_no, unitid, wanted, then the others by name; a field named as
     one of the first four has _field after its name. Fields without a name have no column.
     """
-    files, cells = map(cut, parsed(lines))
-    links = cut(drift(files, cells)).where("what in ('kept', 'renamed', 'added')")
+    files, body = parsed(lines)
+    body = cut(body)
+    links = cut(drift(files, body)).where("what in ('kept', 'renamed', 'added')")
     per_series = links.groupBy("series").agg(F.sort_array(F.collect_list(F.struct("nth", "field", "old_field"))).alias("links"))
     folded = cut(files.where("nth = 1").select("series", "names").join(per_series, "series", "left"))
     chain_of = lambda names, links: chains(list(names), list(links) if links is not None else [])
@@ -336,10 +360,15 @@ def one_table(lines: DataFrame, wanted: dict[str, str]) -> DataFrame:
 
     column = cut(folded.mapInPandas(named, "series string, nth int, field string, column string"))
     others = sorted({r[0] for r in column.select("column").distinct().collect()} - {KEY_FIELD, *wanted})
-    c = cells.join(column, ["series", "nth", "field"])
-    # numbered columns, as a field may be called as one of the grouping columns
-    wide = c.groupBy("series", "nth", "line_no", "unit").pivot("column", [*wanted, *others]).agg(F.max("value"))
-    wide = wide.toDF("series", "nth", "line_no", "unit", *[f"f{i}" for i in range(len(wanted) + len(others))])
+    # where each column's value stands in the lines of a file, told once a file; a line becomes a row where it is
+    to = F.map_from_entries(F.collect_list(F.struct("field", "column")))
+    called = F.transform("names", lambda f: F.coalesce(F.try_element_at("to", f), F.lit("")))
+    per_file = column.groupBy("series", "nth").agg(to.alias("to")).join(files, ["series", "nth"]).withColumn("called", called)
+    at = F.transform(F.array(*map(F.lit, [KEY_FIELD, *wanted, *others])), lambda c: F.nullif(F.array_position("called", c), F.lit(0)).cast("int"))
+    per_file = cut(per_file.select("series", "nth", "file_name", "edition", at.alias("at")))
+    # numbered columns, as a field may be called as one of the others
+    values = [F.try_element_at("values", F.element_at("at", i + 1)).alias(f"f{i}") for i in range(1 + len(wanted) + len(others))]
+    wide = body.join(per_file, ["series", "nth"]).select("series", "file_name", "edition", "line_no", *values)
 
     def cast(f: str, kind: str) -> Column:
         if kind == "string":
@@ -350,6 +379,5 @@ def one_table(lines: DataFrame, wanted: dict[str, str]) -> DataFrame:
         return v if kind == "double" else F.round(v).try_cast(kind)
 
     fixed = ("series", "file_name", "edition", "line_no")
-    columns = [cast(f"f{i}", wanted.get(f, "string")).alias(f"{f}_field" if f in fixed else f) for i, f in enumerate([*wanted, *others])]
-    placed = files.select("series", "nth", "file_name", "edition")
-    return wide.join(placed, ["series", "nth"]).select(*fixed, F.col("unit").alias(KEY_FIELD), *columns)
+    columns = [cast(f"f{i}", wanted.get(f, "string")).alias(f"{f}_field" if f in fixed else f) for i, f in enumerate([*wanted, *others], 1)]
+    return wide.select(*fixed, F.col("f0").alias(KEY_FIELD), *columns)
