@@ -80,7 +80,8 @@ def _pack(df: DataFrame, id_col: str, capacity: int, shares: int, level: int, fu
     # the row's own number keeps repeated rows of one id from meeting in one share
     h = F.xxhash64(F.col(id_col), F.col("piece"), F.col("_row"), F.lit(level))
     d = df.withColumn("_h", h).withColumn("_share", F.pmod("_h", F.lit(shares)))
-    d = d.repartition(shares, "_share").select(id_col, "piece", "start", "n", "_row", "_h", "_share")
+    # a share is a partition: by hash some tasks would hold several shares and others none
+    d = d.repartitionById(shares, F.col("_share").cast("int")).select(id_col, "piece", "start", "n", "_row", "_h", "_share")
     return d.mapInPandas(run, f"`{id_col}` {kind}, piece int, start bigint, n bigint, _row bigint, container bigint, done boolean")
 
 

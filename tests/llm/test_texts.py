@@ -6,6 +6,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from kinlink.llm import lookalikes as L
 from kinlink.llm import tokens as T
 from kinlink.llm.packing import SumOfSquares, containers, packed, pieces
@@ -60,6 +62,25 @@ def test_append_and_splice(encoder):
         assert t.data == want and t.last == T.PrefixTable(v, want).last
 
 
+def test_pairs_of_tokens_against_merging(encoder):
+    rnd = random.Random(5)
+    v = encoder.vocabulary
+    known = [t for t in v.ranks if len(t) < 9]
+    for _ in range(3000):
+        a, b = rnd.choice(known), rnd.choice(known[:3000] if rnd.random() < 0.5 else known)
+        if all(v.merged([bytes([x]) for x in t]) == [t] for t in (a, b)):
+            assert v.stays_two(v.ranks[a], v.ranks[b]) == (v.merged([bytes([x]) for x in a + b]) == [a, b])
+
+
+@pytest.mark.parametrize("low, high", [(0x4E00, 0x9FFF), (0x3041, 0x3096), (0x30A1, 0x30FA), (0xE01, 0xE4E), (0xAC00, 0xD7A3), (0x1F300, 0x1F6FF), (0x61, 0x7A)])
+def test_unspaced_scripts(reference, low, high):
+    rnd = random.Random(7)
+    text = "".join(chr(rnd.randint(low, high)) for _ in range(3000))
+    e = T.Encoder(words=500)  # too few for all pieces, so they are forgotten on the way
+    e.vocabulary.PAIRS = 300
+    assert e.encode(text) == reference(text) and len(e) <= 500 and max(len(e.vocabulary._stays), len(e.vocabulary._crosses)) <= 300
+
+
 def test_encoded_frame(spark, reference):
     d = spark.createDataFrame([(1, "Hi there", 9), (2, None, 9), (3, "", 9), (3, "", 9)], "doc_id bigint, text string, ids int")
     assert sorted((r.doc_id, r.ids) for r in T.encoded(d, "doc_id", "text").collect()) == [(1, reference("Hi there")), (2, []), (3, []), (3, [])]
