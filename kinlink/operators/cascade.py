@@ -45,16 +45,38 @@ def unique_join(left: DataFrame, right: DataFrame, r: Round) -> DataFrame:
     return j.where("_n = 1").select(*keys, *[F.col(f"_l.{c}").alias(c) for c in l_cols], *[F.col(f"_r.{c}").alias(c) for c in r_cols], F.lit(r.strength).alias("strength"))
 
 
+def _unique_pairs(left: DataFrame, right: DataFrame, r: Round) -> DataFrame:
+    """(_l, _r) of the rows that unique_join would join."""
+    keys, part = list(r.keys), list(r.partition or r.keys)
+    one = lambda df, n, row: df.where(" and ".join(f"`{k}` is not null" for k in keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias(n), F.max(row).alias(row))
+    j = one(left, "_nl", "_l").join(one(right, "_nr", "_r"), keys).withColumn("_n", F.col("_nl") * F.col("_nr"))
+    if set(part) != set(keys):
+        total = j.groupBy(*part).agg(F.sum("_n").alias("_n_all")).where("_n_all = 1").select(*part)
+        j = j.join(total, part, "left_semi")
+    return j.where("_n = 1").select("_l", "_r")
+
+
 def cascade(left: DataFrame, right: DataFrame, left_id: str, right_id: str, rounds: list[Round], cut) -> DataFrame:
     """All rounds' matches; a round's matches leave either pool by their own id, its rejects stay.
 
-    The lineage is cut in each round, as both pools of round k feed round k + 1 twice. Rows without id
-    stay in the pools.
+    Rounds run on numbered rows with their id and keys alone; pools are cut once a round, as each feeds the next one
+    twice, and all other columns join the matches at the end. Rows without id stay in the pools.
     """
+    number = lambda df, row: cut(df.withColumn(row, F.monotonically_increasing_id()))
+    left, right = number(left, "_l"), number(right, "_r")
+    keys = list(dict.fromkeys(k for r in rounds for k in (*r.keys, *r.partition)))
+    pools = [left.select("_l", *dict.fromkeys([left_id, *keys])), right.select("_r", *dict.fromkeys([right_id, *keys]))]
     out = []
     for k, r in enumerate(rounds):
-        won = cut(unique_join(left, right, r))
+        won = cut(_unique_pairs(*pools, r).withColumn("strength", F.lit(r.strength)))
         out.append(won)
         if k + 1 < len(rounds):
-            left, right = narrowed(left, won, left_id), narrowed(right, won, right_id)
-    return union_by_name(*out)
+            for i, (row, name) in enumerate((("_l", left_id), ("_r", right_id))):
+                taken = pools[i].join(won.select(row), row, "left_semi")
+                pools[i] = cut(narrowed(pools[i], taken, name))
+    from_right = {c: [r.strength for r in rounds if c in r.left_out and c not in r.keys] for c in left.columns if c in right.columns}
+    column = lambda c: F.when(F.col("strength").isin(from_right[c]), F.col(f"r.{c}")).otherwise(F.col(f"l.{c}")) if c in from_right else F.col(f"{'l' if c in left.columns else 'r'}.{c}")
+    columns = [c for c in dict.fromkeys([*left.columns, *right.columns]) if c not in ("_l", "_r")]
+    pairs = union_by_name(*out).alias("p")
+    j = pairs.join(left.alias("l"), F.col("p._l") == F.col("l._l")).join(right.alias("r"), F.col("p._r") == F.col("r._r"))
+    return j.select(*[column(c).alias(c) for c in columns], "strength")

@@ -21,16 +21,37 @@ def one_to_one(left: DataFrame, right: DataFrame, keys: list[str], left_id: str,
 
 
 def two_rounds(left: DataFrame, right: DataFrame, left_id: str, right_id: str, rounds: list[list[str]]) -> DataFrame:
-    """(left_id, right_id, strength): one_to_one round by round; what a round joined on its keys leaves both pools by the keys."""
+    """(left_id, right_id, strength): one_to_one round by round.
+
+    Whatever has a partner on a round's keys in the other table leaves the pool, whether the pair is one to one or not; so a
+    pair that a round rejects doesn't come up again.
+    """
     out = []
     for k, keys in enumerate(rounds, 1):
         won = one_to_one(left, right, keys, left_id, right_id)
         out.append(won.select(left_id, right_id, F.lit(f"{k}) {', '.join(keys)}").alias("strength")))
-        taken = won.select(*keys).distinct()
-        left, right = left.join(taken, keys, "left_anti"), right.join(taken, keys, "left_anti")
+        of = lambda df: df.select(*keys).distinct()  # noqa: B023, E731
+        left, right = left.join(of(right), keys, "left_anti"), right.join(of(left), keys, "left_anti")
     return union_by_name(*out)
 
 
+def residual(pool: DataFrame, key: str, *matches: DataFrame) -> DataFrame:
+    """The rows of pool whose key is in none of the matches; rows without key stay."""
+    return narrowed(pool, union_by_name(*[m.select(key) for m in matches]), key)
+
+
+def unpaired(left: DataFrame, right: DataFrame, known: DataFrame, left_id: str, right_id: str, rounds: list[list[str]]) -> tuple[DataFrame, DataFrame]:
+    """What neither known nor potential_duplicates has, of either table: found by semi-joins, so no pair is made."""
+    left0, right0 = narrowed(left, known, left_id), narrowed(right, known, right_id)
+    pool, ids, r_ids = left0, [], []
+    for keys in rounds:
+        met = pool.join(right0.select(*keys).distinct(), keys, "left_semi").select(left_id)
+        r_ids.append(right0.join(pool.select(*keys).distinct(), keys, "left_semi").select(right_id))
+        ids.append(met)
+        pool = narrowed(pool, met, left_id)
+    return residual(left0, left_id, *ids), residual(right0, right_id, *r_ids)
+
+
 def potential_duplicates(left: DataFrame, right: DataFrame, known: DataFrame, left_id: str, right_id: str, rounds: list[list[str]]) -> DataFrame:
     """(left_id, right_id, strength): rows not matched so far that are equal on the keys of a round, however many.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kinlink.functions.regex import rewrite, rewrite_sql, search
 from kinlink.functions.rules import CEEB_UNIVERSITY_NAME, IPEDS_NAME
-from kinlink.functions.similarity import best_of_four, indel_ratio, token_sort_ratio
+from kinlink.functions.similarity import best_similarities
 from kinlink.operators.consolidate import earliest_non_null, latest_non_null
 from kinlink.operators.relational import narrowed, share, top_k, union_by_name, unpivoted
 from kinlink.operators.search import BM25, bm25_top_k
@@ -79,13 +79,13 @@ def unmatched(hd: DataFrame, u: DataFrame, exact: DataFrame) -> tuple[DataFrame,
 def fuzzy_matches(hd: DataFrame, u: DataFrame, exact: DataFrame, p: BM25 = BM25(), limit: int = 10) -> DataFrame:
     """The best retrieved College Board name of each IPEDS id, past thresholds on score and similarity."""
     docs, queries = unmatched(hd, u, exact)
-    q = queries.where("ceeb is not null").select("ceeb", F.col("name").alias("search_name"), F.col("state").alias("q_state"))
-    q = q.withColumn("q", F.xxhash64("ceeb", "search_name", "q_state"))
-    hits = cut(bm25_top_k(q, "q", "search_name", docs, "ipeds", ["name", "city"], ("q_state", "state"), limit, p))
+    # a repeated row is one query, else its words would count twice
+    q = queries.where("ceeb is not null").select("ceeb", F.col("name").alias("search_name"), F.col("state").alias("q_state")).distinct()
+    q = cut(q.withColumn("q", F.concat_ws("\x1f", "ceeb", "search_name", "q_state")))
+    hits = cut(bm25_top_k(q, "q", "search_name", docs, "ipeds", ["name", "city"], ("q_state", "state"), limit, p, cut))
     d = hits.join(q, hits["query"] == q["q"]).join(docs.select("ipeds", "name", "city", "state", "edition"), F.col("doc") == F.col("ipeds"))
     d = d.select("ipeds", F.col("score").alias("match_score"), "ceeb", "search_name", "name", "city", "state", "edition")
-    a, b, c = F.col("search_name"), F.col("name"), F.col("city")
-    d = d.withColumn("similarity_ratio", best_of_four(indel_ratio, a, b, c)).withColumn("fuzz_ratio", best_of_four(token_sort_ratio, a, b, c))
+    d = d.withColumn("_s", best_similarities(F.col("search_name"), F.col("name"), F.col("city"))).select("*", "_s.similarity_ratio", "_s.fuzz_ratio").drop("_s")
     good = ((F.col("match_score") > SCORE_ALONE) | (F.col("similarity_ratio") > RATIO_ALONE) | (F.col("fuzz_ratio") > FUZZ_ALONE)) & (F.col("match_score") > SCORE_LEAST)
     return top_k(d.where(good), ["ipeds"], [F.desc("match_score"), F.desc("similarity_ratio"), F.asc("ceeb"), F.asc("search_name")], 1)
 
@@ -100,11 +100,13 @@ def university_crosswalk(hd: DataFrame, u: DataFrame, nsc: DataFrame, exact: Dat
 
 
 def coverage(crosswalk: DataFrame) -> DataFrame:
-    """(name, value): of six ordered pairs of id systems the percentage of the one found with the other."""
+    """(name, value): of six ordered pairs of id systems the percentage of the one found with the other, as text with a percent sign."""
     ids = ("ipeds", "nsc", "ceeb")
     named = {x: F.col(x).isNotNull() & F.col(f"{x}_name").isNotNull() for x in ids}
     n = crosswalk.agg(*[F.count_if(named[x]).alias(x) for x in ids], *[F.count_if(F.col(x).isNotNull() & named[y]).alias(f"{x}_{y}") for x in ids for y in ids if x != y])
-    return unpivoted(n.select(*[share(F.col(f"{y}_{x}"), F.col(x)).alias(f"{x}_by_{y}") for x, y in (("ipeds", "ceeb"), ("ipeds", "nsc"), ("ceeb", "ipeds"), ("ceeb", "nsc"), ("nsc", "ipeds"), ("nsc", "ceeb"))]))
+    text = lambda x, y: F.concat(F.round(share(F.col(f"{y}_{x}"), F.col(x)), 6).cast("string"), F.lit("%"))
+    pairs = (("ipeds", "ceeb"), ("ipeds", "nsc"), ("ceeb", "ipeds"), ("ceeb", "nsc"), ("nsc", "ipeds"), ("nsc", "ceeb"))
+    return unpivoted(n.select(*[text(x, y).alias(f"{x}_by_{y}") for x, y in pairs])).where("value is not null")
 
 
 def _sources(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -145,7 +147,7 @@ def he_bm25(spark: SparkSession, d: str) -> DataFrame:
     docs, queries = unmatched(hd, u, exact_matches(hd, u))
     q = queries.groupBy("ceeb", "name", "state").count()
     q = q.withColumn("q", F.concat_ws("|", "ceeb", "name"))
-    hits = bm25_top_k(q, "q", "name", docs, "ipeds", ["name", "city"], ("state", "state"), 10)
+    hits = bm25_top_k(q, "q", "name", docs, "ipeds", ["name", "city"], ("state", "state"), 10, cut=cut)
     return hits.select("query", "doc", F.round("score", 6).alias("score"))
 
 
@@ -164,24 +166,24 @@ def he_crosswalk(spark: SparkSession, d: str) -> DataFrame:
 
 
 def he_exact_crosswalk(spark: SparkSession, d: str) -> DataFrame:
-    """The crosswalk without fuzzy matches, which SQL has no measure for."""
+    """The crosswalk without fuzzy matches."""
     hd, u, nsc = _sources(spark, d)
     hd = cut(hd)
     exact = exact_matches(hd, u)
     return university_crosswalk(hd, u, nsc, exact, exact.limit(0))
 
 
-def he_coverage(spark: SparkSession, d: str) -> DataFrame:
-    """Coverage by exact matches alone, as its SQL has it; he_full_coverage is the report."""
-    return coverage(he_exact_crosswalk(spark, d)).withColumn("value", F.round("value", 6))
+def he_exact_coverage(spark: SparkSession, d: str) -> DataFrame:
+    """Coverage by exact matches alone, the lower bound of the report."""
+    return coverage(he_exact_crosswalk(spark, d))
 
 
-def he_full_coverage(spark: SparkSession, d: str) -> DataFrame:
-    """Coverage of the whole crosswalk, by exact and fuzzy matches. SQL has no measure for the fuzzy ones."""
-    return coverage(he_crosswalk(spark, d)).withColumn("value", F.round("value", 6))
+def he_coverage(spark: SparkSession, d: str) -> DataFrame:
+    """Coverage of the whole crosswalk, by exact and fuzzy matches."""
+    return coverage(he_crosswalk(spark, d))
 
 
-QUERIES = {"he_hd": he_hd, "he_universities": he_universities, "he_nsc": he_nsc, "he_exact": he_exact, "he_quality": he_quality, "he_bm25": he_bm25, "he_fuzzy": he_fuzzy, "he_crosswalk": he_crosswalk, "he_exact_crosswalk": he_exact_crosswalk, "he_coverage": he_coverage, "he_full_coverage": he_full_coverage}
+QUERIES = {"he_hd": he_hd, "he_universities": he_universities, "he_nsc": he_nsc, "he_exact": he_exact, "he_quality": he_quality, "he_bm25": he_bm25, "he_fuzzy": he_fuzzy, "he_crosswalk": he_crosswalk, "he_exact_crosswalk": he_exact_crosswalk, "he_coverage": he_coverage, "he_exact_coverage": he_exact_coverage}
 
 _FIELDS = ["opeid", "edition", "multicampus", "ipeds_name", "name", "address", "city", "county_name", "state_abbr", "zip", "state_fips", "fips", "latitude", "longitude", "state"]
 _Q = "'\"'"
@@ -214,9 +216,34 @@ stats AS (SELECT (SELECT count(*) FROM docs) AS n, (SELECT sum(len(w)) FROM w) A
 q AS (SELECT concat_ws('|', ceeb, name) AS query, lower(state) AS block, unnest(list_distinct({_WORDS.format('name')})) AS term FROM pool),
 hits AS (SELECT query, ipeds AS doc, sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * length / (total / n)))) AS score
   FROM q JOIN post USING (block, term) JOIN df USING (term), stats GROUP BY 1, 2)"""
+# The longest common subsequence, a row of its table for each letter of a, as lists of numbers: reduced from the first row
+# over a's letters, and each row from [0] over b's letters with their places.
+_LCS = """list_reduce(list_concat([list_transform(range(0, len({b}) + 1), lambda i: CAST(0 AS BIGINT))], list_transform(string_split({a}, ''), lambda c: [CAST(unicode(c) AS BIGINT)])),
+  lambda above, ca: list_reduce(list_concat([[CAST(0 AS BIGINT)]], list_transform(range(1, len({b}) + 1), lambda j: [j, CAST(unicode({b}[j]) AS BIGINT)])),
+    lambda now, jb: list_append(now, CASE WHEN jb[2] = ca[1] THEN above[jb[1]] + 1 ELSE greatest(above[jb[1] + 1], now[len(now)]) END)))[len({b}) + 1]"""
+
+
+def _indel_sql(a: str, b: str) -> str:
+    return f"(CASE WHEN {a} = '' OR {b} = '' THEN CAST({a} = {b} AS INT) ELSE 2 * {_LCS.format(a=a, b=b)} / (len({a}) + len({b})) END)"
+
+
+_SORTED = "trim(array_to_string(list_sort(list_filter(string_split(regexp_replace(lower({}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' '), lambda w: w <> '')), ' '))"
+_FOUR = ("a, b", "a, b || ' ' || city", "a || ' ' || city, b", "a || ' ' || city, b || ' ' || city")
+_FUZZY = f"""best AS (SELECT query, ipeds, ceeb, search_name, d.name, d.city, d.state, h.edition, score FROM (SELECT query, doc AS ipeds, score FROM hits QUALIFY row_number() OVER (PARTITION BY query ORDER BY score DESC, doc) <= 10)
+  JOIN (SELECT DISTINCT concat_ws('|', ceeb, name) AS query, ceeb, name AS search_name FROM pool WHERE ceeb IS NOT NULL) USING (query) JOIN docs d USING (ipeds) JOIN (SELECT ipeds, edition FROM hd) h USING (ipeds)),
+four AS MATERIALIZED ({" UNION ALL ".join(f"SELECT query, ipeds, {x.split(', ')[0]} AS x, {x.split(', ')[1]} AS y FROM (SELECT query, ipeds, search_name AS a, name AS b, city FROM best)" for x in _FOUR)}),
+sorted AS MATERIALIZED (SELECT DISTINCT x, y, {_SORTED.format('x')} AS sx, {_SORTED.format('y')} AS sy FROM four WHERE x IS NOT NULL AND y IS NOT NULL),
+measured AS MATERIALIZED (SELECT x, y, {_indel_sql('x', 'y')} AS r, CASE WHEN sx = '' OR sy = '' THEN 0.0 ELSE round_even(100 * {_indel_sql('sx', 'sy')}, 0) / 100 END AS f FROM sorted),
+ratios AS (SELECT query, ipeds, max(r) AS similarity_ratio, max(f) AS fuzz_ratio FROM four LEFT JOIN measured USING (x, y) GROUP BY query, ipeds),
+fuzzy AS MATERIALIZED (SELECT ipeds, score AS match_score, ceeb, search_name, name, city, state, edition, similarity_ratio, fuzz_ratio FROM best JOIN ratios USING (query, ipeds)
+  WHERE (score > {SCORE_ALONE} OR similarity_ratio > {RATIO_ALONE} OR fuzz_ratio > {FUZZ_ALONE}) AND score > {SCORE_LEAST}
+  QUALIFY row_number() OVER (PARTITION BY ipeds ORDER BY score DESC, similarity_ratio DESC, ceeb, search_name) = 1)"""
+_WHOLE = _CROSSWALK.replace("(SELECT ceeb, ipeds, state, method FROM exact) m", "(SELECT ceeb, ipeds, state, method FROM exact UNION ALL SELECT ceeb, ipeds, state, 'fuzzy' FROM fuzzy) m")
 _PAIRS = (("ipeds", "ceeb"), ("ipeds", "nsc"), ("ceeb", "ipeds"), ("ceeb", "nsc"), ("nsc", "ipeds"), ("nsc", "ceeb"))
 _COVERAGE = " UNION ALL ".join(
-    f"SELECT '{x}_by_{y}' AS name, round(round(count(*) FILTER (WHERE {y} IS NOT NULL AND {x} IS NOT NULL AND {x}_name IS NOT NULL) / nullif(count(*) FILTER (WHERE {x} IS NOT NULL AND {x}_name IS NOT NULL), 0), 4) * 100, 6) AS value FROM crosswalk" for x, y in _PAIRS
+    f"""SELECT '{x}_by_{y}' AS name, CAST(round(round(count(*) FILTER (WHERE {y} IS NOT NULL AND {x} IS NOT NULL AND {x}_name IS NOT NULL)
+  / nullif(count(*) FILTER (WHERE {x} IS NOT NULL AND {x}_name IS NOT NULL), 0), 4) * 100, 6) AS VARCHAR) || '%' AS value FROM crosswalk"""
+    for x, y in _PAIRS
 )
 SQL = {
     "he_hd": f"WITH {_HD} SELECT * FROM hd",
@@ -226,5 +253,9 @@ SQL = {
     "he_quality": f"WITH {_HD}, {_U}, {_EXACT}, n AS (SELECT (SELECT count(*) FROM hd) AS n_ipeds, (SELECT count(*) FROM u) AS n_ceeb, (SELECT count(*) FROM exact) AS n_exact) SELECT *, round(n_exact / least(n_ipeds, n_ceeb), 6) AS quality FROM n",
     "he_bm25": f"WITH {_HD}, {_U}, {_EXACT}, {_BM25} SELECT query, doc, round(score, 6) AS score FROM hits QUALIFY row_number() OVER (PARTITION BY query ORDER BY score DESC, doc) <= 10",
     "he_exact_crosswalk": f"WITH {_HD}, {_U}, {_NSC}, {_EXACT}, {_CROSSWALK} SELECT * FROM crosswalk",
-    "he_coverage": f"WITH {_HD}, {_U}, {_NSC}, {_EXACT}, {_CROSSWALK} {_COVERAGE}",
+    "he_exact_coverage": f"WITH {_HD}, {_U}, {_NSC}, {_EXACT}, {_CROSSWALK} SELECT * FROM ({_COVERAGE}) WHERE value IS NOT NULL",
+    "he_fuzzy": f"""WITH {_HD}, {_U}, {_EXACT}, {_BM25}, {_FUZZY} SELECT ipeds, round(match_score, 6) AS match_score, ceeb, search_name, name, city, state, edition,
+  round(similarity_ratio, 6) AS similarity_ratio, fuzz_ratio FROM fuzzy""",
+    "he_crosswalk": f"WITH {_HD}, {_U}, {_NSC}, {_EXACT}, {_BM25}, {_FUZZY}, {_WHOLE} SELECT * FROM crosswalk",
+    "he_coverage": f"WITH {_HD}, {_U}, {_NSC}, {_EXACT}, {_BM25}, {_FUZZY}, {_WHOLE} SELECT * FROM ({_COVERAGE}) WHERE value IS NOT NULL",
 }

@@ -9,6 +9,7 @@ from kinlink.functions.regex import rewrite, rewrite_sql
 from kinlink.functions.rules import ADDRESS, CEEB_SCHOOL_NAME, CITY, NCES_SCHOOL_NAME
 from kinlink.operators.cascade import Round, cascade
 from kinlink.operators.consolidate import latest_non_null
+from kinlink.operators.pairing import residual, two_rounds, unpaired
 from kinlink.operators.relational import narrowed, survivorship, union_by_name
 from kinlink.session import cut, table
 
@@ -69,8 +70,8 @@ def publisher_matches(school: DataFrame) -> DataFrame:
 
 def unique_exact_matches(ceeb: DataFrame, nces: DataFrame, told: DataFrame) -> DataFrame:
     """Six rounds over what the publisher's pairs leave; latitude and longitude are the College Board's."""
-    left = cut(narrowed(ceeb, told, "ceeb"))
-    right = cut(narrowed(nces, told, "nces").withColumnRenamed("latitude", "nces_latitude").withColumnRenamed("longitude", "nces_longitude"))
+    left = narrowed(ceeb, told, "ceeb")
+    right = narrowed(nces, told, "nces").withColumnRenamed("latitude", "nces_latitude").withColumnRenamed("longitude", "nces_longitude")
     return cascade(left, right, "ceeb", "nces", ROUNDS, cut).select(*MATCH_COLUMNS)
 
 
@@ -116,7 +117,43 @@ def k12_crosswalk(spark: SparkSession, d: str) -> DataFrame:
     return crosswalk(ceeb, nces, told, unique_exact_matches(ceeb, nces, told))
 
 
-QUERIES = {"k12_ceeb": k12_ceeb, "k12_nces": k12_nces, "k12_matches": k12_matches, "k12_crosswalk": k12_crosswalk}
+EARLIER = [["name", "zip"], ["name", "state_abbr"]]
+
+
+def _slim(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The tables' ids and the keys of the earlier matcher."""
+    ceeb, nces, _ = _sources(spark, d)
+    return tuple(cut(t.select(i, "name", "zip", "state_abbr")) for t, i in ((ceeb, "ceeb"), (nces, "nces")))
+
+
+def k12_earlier_matches(spark: SparkSession, d: str) -> DataFrame:
+    """One to one by name and zip, then by name and state."""
+    return two_rounds(*_slim(spark, d), "ceeb", "nces", EARLIER).distinct()
+
+
+def k12_earlier_residual(spark: SparkSession, d: str) -> DataFrame:
+    """(side, code, name): what neither round of the earlier matcher has."""
+    ceeb, nces = _slim(spark, d)
+    m = cut(two_rounds(ceeb, nces, "ceeb", "nces", EARLIER))
+    of = lambda t, i: residual(t, i, *[m.where(F.col("strength").startswith(f"{k})")) for k in (1, 2)]).select(F.lit(i).alias("side"), F.col(i).alias("code"), "name")
+    return of(ceeb, "ceeb").unionByName(of(nces, "nces"))
+
+
+def k12_unmatched(spark: SparkSession, d: str) -> DataFrame:
+    """(side, code, name): the final pools, without the publisher's pairs, the unique exact matches and the potential duplicates by name."""
+    ceeb, nces, told = _sources(spark, d)
+    ceeb, nces = cut(ceeb), cut(nces)
+    known = cut(union_by_name(told, unique_exact_matches(ceeb, nces, told).select("ceeb", "nces")))
+    slim = lambda t, i: t.select(i, "name", "zip", "state_abbr")
+    left, right = unpaired(slim(ceeb, "ceeb"), slim(nces, "nces"), known, "ceeb", "nces", EARLIER)
+    of = lambda t, i: t.select(F.lit(i).alias("side"), F.col(i).alias("code"), "name")
+    return of(left, "ceeb").unionByName(of(right, "nces"))
+
+
+QUERIES = {
+    "k12_ceeb": k12_ceeb, "k12_nces": k12_nces, "k12_matches": k12_matches, "k12_crosswalk": k12_crosswalk,
+    "k12_earlier_matches": k12_earlier_matches, "k12_earlier_residual": k12_earlier_residual, "k12_unmatched": k12_unmatched,
+}
 
 _PUBLIC = ["name", "street", "city", "state", "zip", "cnty", "lat", "lon", "cd", "cbsa", "sldl", "sldu"]
 _CEEB = f"""board AS (SELECT ceeb, full_name AS ceeb_name, address, city, state_abbr, zip, latitude, longitude FROM ceeb_school),
@@ -151,11 +188,32 @@ def _rounds_sql() -> str:
     return ",\n".join(out)
 
 
+def _earlier_round(k: int, left: str, right: str, key: str) -> str:
+    """Pairs on name and key that are one to one, by windowed counts of different partners."""
+    return f"""e{k} AS MATERIALIZED (SELECT * EXCLUDE (n_nces, n_ceeb) FROM (SELECT ceeb, nces, '{k}) name, {key}' AS strength,
+  count(DISTINCT nces) OVER (PARTITION BY ceeb) AS n_nces, count(DISTINCT ceeb) OVER (PARTITION BY nces) AS n_ceeb
+  FROM {left} JOIN {right} USING (name, {key})) WHERE n_nces = 1 AND n_ceeb = 1)"""
+
+
+_EARLIER = f"""WITH {_CEEB},\n{_NCES},\n{_earlier_round(1, "ceeb", "nces", "zip")},
+c1 AS MATERIALIZED (SELECT * FROM ceeb ANTI JOIN nces USING (name, zip)), n1 AS MATERIALIZED (SELECT * FROM nces ANTI JOIN ceeb USING (name, zip)),
+{_earlier_round(2, "c1", "n1", "state_abbr")}, earlier AS (SELECT * FROM e2 UNION ALL BY NAME SELECT * FROM e1)
+"""
+_POTENTIAL = """, known AS MATERIALIZED (SELECT ceeb, nces FROM told UNION ALL SELECT ceeb, nces FROM matches),
+uc AS MATERIALIZED (SELECT * FROM ceeb ANTI JOIN known USING (ceeb)), un AS MATERIALIZED (SELECT * FROM nces ANTI JOIN known USING (nces)),
+d1 AS MATERIALIZED (SELECT ceeb, nces FROM uc JOIN un USING (name, zip)), uc2 AS MATERIALIZED (SELECT * FROM uc ANTI JOIN d1 USING (ceeb)),
+d2 AS MATERIALIZED (SELECT ceeb, nces FROM uc2 JOIN un USING (name, state_abbr)),
+found AS (SELECT * FROM known UNION ALL SELECT * FROM d1 UNION ALL SELECT * FROM d2)
+"""
+_POOLS = "SELECT 'ceeb' AS side, ceeb AS code, name FROM ceeb ANTI JOIN {0} USING (ceeb) UNION ALL SELECT 'nces', nces, name FROM nces ANTI JOIN {0} USING (nces)"
 _ALL = f"WITH {_CEEB},\n{_NCES},\n{_rounds_sql()}\n"
 SQL = {
     "k12_ceeb": f"WITH {_CEEB}\nSELECT * FROM ceeb",
     "k12_nces": f"WITH {_NCES}\nSELECT * FROM nces",
     "k12_matches": f"{_ALL}SELECT * FROM matches",
+    "k12_earlier_matches": f"{_EARLIER}SELECT DISTINCT * FROM earlier",
+    "k12_earlier_residual": _EARLIER + _POOLS.format("earlier"),
+    "k12_unmatched": _ALL + _POTENTIAL + _POOLS.format("found"),
     "k12_crosswalk": f"""{_ALL}SELECT ceeb, nces, n.state_school_id, c.ceeb_name, n.nces_name, n.low_grade, n.high_grade, coalesce(c.ceeb_address, n.nces_address) AS address, coalesce(c.ceeb_city, n.nces_city) AS city,
   coalesce(c.state_abbr, n.state_abbr) AS state_abbr, coalesce(c.zip, n.zip) AS zip, n.fips, coalesce(c.latitude, n.latitude) AS latitude, coalesce(c.longitude, n.longitude) AS longitude, n.public_private,
   n.congressional_district, n.cbsa, n.state_legislature_lower, n.state_legislature_upper

@@ -75,7 +75,7 @@ def earliest_fields(spark: SparkSession, d: str) -> DataFrame:
 def full_crosswalk(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders").where("o_orderpriority = '1-URGENT'").groupBy(F.col("o_custkey").alias("id")).agg(F.count(F.lit(1)).alias("orders"))
     c = table(spark, d, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("nation"), "c_name")
-    n = table(spark, d, "nation").where("n_nationkey < 20").select(F.col("n_nationkey").alias("nation"), "n_name")
+    n = table(spark, d, "nation").select(F.col("n_nationkey").alias("nation"), "n_name")
     j = o.join(c, "id", "full").join(n, "nation", "full")
     return j.select("nation", "id", "orders", "c_name", "n_name", F.when(F.col("orders").isNull(), "no-order").otherwise("ordered").alias("method"))
 
@@ -199,7 +199,7 @@ def _cascade_sql() -> str:
 
 _FULL = """SELECT nation, id, orders, c_name, n_name, CASE WHEN orders IS NULL THEN 'no-order' ELSE 'ordered' END AS method
   FROM (SELECT o_custkey AS id, count(*) AS orders FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1) o
-  FULL JOIN (SELECT c_custkey AS id, c_nationkey AS nation, c_name FROM customer WHERE c_acctbal > 0) c USING (id) FULL JOIN (SELECT n_nationkey AS nation, n_name FROM nation WHERE n_nationkey < 20) n USING (nation)"""
+  FULL JOIN (SELECT c_custkey AS id, c_nationkey AS nation, c_name FROM customer WHERE c_acctbal > 0) c USING (id) FULL JOIN (SELECT n_nationkey AS nation, n_name FROM nation) n USING (nation)"""
 _FIELDS = "SELECT user_id, {0}(event_type, row(ts, event_id)) FILTER (WHERE event_type IS NOT NULL) AS event_type, {0}(value, row(ts, event_id)) FILTER (WHERE value IS NOT NULL) AS value FROM (SELECT user_id, event_id, nullif(event_type, 'error') AS event_type, CASE WHEN value > 50 THEN value END AS value, ts FROM events) GROUP BY user_id"
 _ONE = "e{k} AS (SELECT c_id, s_id, {l}.name, {l}.{p} AS {p} FROM {l} JOIN {r} ON {l}.name = {r}.name AND {l}.{p} = {r}.{p}), g{k} AS (SELECT * FROM e{k} WHERE c_id IN (SELECT c_id FROM e{k} GROUP BY 1 HAVING count(DISTINCT s_id) = 1) AND s_id IN (SELECT s_id FROM e{k} GROUP BY 1 HAVING count(DISTINCT c_id) = 1))"
 SQL = {
@@ -221,7 +221,9 @@ SQL = {
     "nested_fields": "SELECT letter, count(*) AS n, sum(k) AS k, min(pos) AS first_pos FROM (SELECT CAST(json_extract(props, '$.k') AS BIGINT) AS k, unnest(string_split(event_type, '')) AS letter, generate_subscripts(string_split(event_type, ''), 1) - 1 AS pos FROM events) GROUP BY letter",
     "distinct_window": "SELECT l_orderkey, l_linenumber, l_returnflag, count(DISTINCT l_suppkey) OVER (PARTITION BY l_orderkey, l_returnflag) AS suppliers FROM lineitem",
     "best_per_group": "SELECT o_custkey, o_orderkey, o_totalprice FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) <= 3",
-    "one_to_one_rounds": f"WITH {_PARTIES}, {_ONE.format(k=1, l='c', r='s', p='city')}, c1 AS (SELECT * FROM c ANTI JOIN g1 USING (name, city)), s1 AS (SELECT * FROM s ANTI JOIN g1 USING (name, city)), {_ONE.format(k=2, l='c1', r='s1', p='state')} SELECT c_id, s_id, '1) name, city' AS strength FROM g1 UNION ALL SELECT c_id, s_id, '2) name, state' FROM g2",
+    "one_to_one_rounds": f"""WITH {_PARTIES}, {_ONE.format(k=1, l='c', r='s', p='city')}, c1 AS (SELECT * FROM c ANTI JOIN s USING (name, city)),
+  s1 AS (SELECT * FROM s ANTI JOIN c USING (name, city)), {_ONE.format(k=2, l='c1', r='s1', p='state')}
+  SELECT c_id, s_id, '1) name, city' AS strength FROM g1 UNION ALL SELECT c_id, s_id, '2) name, state' FROM g2""",
     "likely_duplicates": f"WITH {_PARTIES}, known AS (SELECT c_id, s_id FROM c JOIN s ON c.name = s.name AND c.state = s.state QUALIFY count(*) OVER (PARTITION BY c.name, c.state) = 1), cc AS (SELECT * FROM c ANTI JOIN known USING (c_id)), ss AS (SELECT * FROM s ANTI JOIN known USING (s_id)), d1 AS (SELECT c_id, s_id FROM cc JOIN ss USING (name, city)), d2 AS (SELECT c_id, s_id FROM (SELECT * FROM cc ANTI JOIN d1 USING (c_id)) JOIN ss USING (name)) SELECT c_id, s_id, '(potential duplicates) name, city' AS strength FROM d1 UNION ALL SELECT c_id, s_id, '(potential duplicates) name' FROM d2",
     "html_rows": "SELECT n_regionkey, CAST(n_nationkey AS VARCHAR) AS id, n_name AS name FROM nation",
     "county_table": "SELECT statefp AS state_fips, countyfp AS county_fips, geoid AS fips, namelsad AS county_name, name AS county_name_short, CAST(intptlat AS DOUBLE) AS center_latitude, CAST(intptlon AS DOUBLE) AS center_longitude, edition FROM geography_county",

@@ -10,7 +10,7 @@ from kinlink.operators.cascade import Round, cascade, unique_join
 from kinlink.operators.consolidate import earliest_non_null, latest_non_null
 from kinlink.operators.history import versions
 from kinlink.operators.nearby import EARTH_M, containing, degrees_in, near_pairs, restored, wkb_edges
-from kinlink.operators.pairing import one_to_one
+from kinlink.operators.pairing import one_to_one, potential_duplicates, two_rounds, unpaired
 from kinlink.operators.relational import narrowed, qualify_unique, survivorship, top_k, union_by_name, unpivoted
 from kinlink.operators.search import BM25, bm25_top_k
 from kinlink.session import cut
@@ -66,6 +66,20 @@ def test_one_to_one(spark):
     assert rows(one_to_one(l, r, ["k"], "l", "r").select("l", "r")) == [(1, 10)]
 
 
+def test_rejected_pairs_dont_come_up_again(spark):
+    c = "name string, zip string, state string"
+    l = spark.createDataFrame([(1, "a", "1", "X"), (2, "b", "1", "X"), (3, "b", "1", "X"), (4, "c", "2", "X"), (5, None, "1", "X")], f"l int, {c}")
+    r = spark.createDataFrame([(10, "a", "1", "X"), (20, "b", "1", "X"), (30, "c", "3", "X"), (40, "d", "1", "X"), (50, "b", "9", "Y")], f"r int, {c}")
+    # 2 and 3 both meet 20, so neither is taken, and both have left when names and states are compared
+    rounds = [["name", "zip"], ["name", "state"]]
+    assert rows(two_rounds(l, r, "l", "r", rounds)) == [(1, 10, "1) name, zip"), (4, 30, "2) name, state")]
+    known = spark.createDataFrame([(1, 10)], "l int, r int")
+    d = potential_duplicates(l, r, known, "l", "r", rounds)
+    left, right = unpaired(l, r, known, "l", "r", rounds)
+    assert {x.l for x in d.collect()} == {2, 3, 4} and {x.r for x in d.collect()} == {20, 30}
+    assert sorted(x.l for x in left.collect()) == [5] and sorted(x.r for x in right.collect()) == [40, 50]
+
+
 def test_bm25_by_hand(spark):
     docs = spark.createDataFrame([("d1", "red fox", "oslo", "A"), ("d2", "red red dog", None, "a"), ("d3", "blue cat 9", "rome", "B"), ("d4", None, None, "A")], "id string, name string, city string, state string")
     q = spark.createDataFrame([("q1", "Réd red 7 zebra", "a"), ("q2", "99", "A")], "q string, text string, st string")

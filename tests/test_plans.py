@@ -20,8 +20,19 @@ def test_full_coverage_counts_fuzzy_matches(spark, tmp_path):
     cross = he.he_crosswalk(spark, str(tmp_path)).collect()
     ids = {x: [r for r in cross if r[x] is not None and r[f"{x}_name"] is not None] for x in ("ipeds", "ceeb", "nsc")}
     assert {x: len(r) for x, r in ids.items()} == {"ipeds": 18, "ceeb": 4, "nsc": 2}
-    want = {f"{x}_by_{y}": round(round(sum(r[y] is not None for r in ids[x]) / len(ids[x]), 4) * 100, 6) for x in ids for y in ids if x != y}
-    got = {r.name: r.value for r in he.he_full_coverage(spark, str(tmp_path)).collect()}
-    assert got == want and (got["ceeb_by_ipeds"], got["ipeds_by_ceeb"], got["nsc_by_ceeb"]) == (50.0, 11.11, 50.0)
-    exact = {r.name: r.value for r in he.he_coverage(spark, str(tmp_path)).collect()}
-    assert (exact["ceeb_by_ipeds"], exact["ipeds_by_ceeb"]) == (25.0, 5.56)
+    want = {f"{x}_by_{y}": f"{round(round(sum(r[y] is not None for r in ids[x]) / len(ids[x]), 4) * 100, 6)}%" for x in ids for y in ids if x != y}
+    got = {r.name: r.value for r in he.he_coverage(spark, str(tmp_path)).collect()}
+    assert got == want and (got["ceeb_by_ipeds"], got["ipeds_by_ceeb"], got["nsc_by_ceeb"]) == ("50.0%", "11.11%", "50.0%")
+    exact = {r.name: r.value for r in he.he_exact_coverage(spark, str(tmp_path)).collect()}
+    assert (exact["ceeb_by_ipeds"], exact["ipeds_by_ceeb"]) == ("25.0%", "5.56%")
+
+
+def test_repeated_names_score_once(spark, tmp_path):
+    colleges(spark, tmp_path)
+    once = he.he_fuzzy(spark, str(tmp_path)).collect()
+    u = spark.read.parquet(f"{tmp_path}/ceeb_university.parquet")
+    (tmp_path / "b").mkdir()
+    u.unionByName(u).write.parquet(f"{tmp_path}/b/ceeb_university.parquet")
+    for t in ("ipeds_hd", "ceeb_school"):
+        spark.read.parquet(f"{tmp_path}/{t}.parquet").write.parquet(f"{tmp_path}/b/{t}.parquet")
+    assert he.he_fuzzy(spark, f"{tmp_path}/b").collect() == once
