@@ -79,3 +79,24 @@ def best_similarities(a: Column, b: Column, city: Column) -> Column:
         return pa.StructArray.from_arrays([pa.array(v, pa.float64()) for v in out], ["similarity_ratio", "fuzz_ratio"])
 
     return run(a, b, city)
+
+
+# The longest common subsequence, a row of its table for each letter of a, as lists of numbers: reduced from the first row
+# over a's letters, and each row from [0] over b's letters with their places.
+_LCS = """list_reduce(list_concat([list_transform(range(0, len({b}) + 1), lambda i: CAST(0 AS BIGINT))], list_transform(string_split({a}, ''), lambda c: [CAST(unicode(c) AS BIGINT)])),
+  lambda above, ca: list_reduce(list_concat([[CAST(0 AS BIGINT)]], list_transform(range(1, len({b}) + 1), lambda j: [j, CAST(unicode({b}[j]) AS BIGINT)])),
+    lambda now, jb: list_append(now, CASE WHEN jb[2] = ca[1] THEN above[jb[1]] + 1 ELSE greatest(above[jb[1] + 1], now[len(now)]) END)))[len({b}) + 1]"""
+
+
+def indel_ratio_sql(a: str, b: str) -> str:
+    """The same measures as expressions of DuckDB's SQL, for columns of that name."""
+    return f"(CASE WHEN {a} = '' OR {b} = '' THEN CAST({a} = {b} AS INT) ELSE 2 * {_LCS.format(a=a, b=b)} / (len({a}) + len({b})) END)"
+
+
+def sorted_words_sql(c: str) -> str:
+    return f"array_to_string(list_sort(list_filter(string_split(regexp_replace(lower({c}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' '), lambda w: w <> '')), ' ')"
+
+
+def token_sort_ratio_sql(sorted_a: str, sorted_b: str) -> str:
+    """Of columns of sorted words."""
+    return f"CASE WHEN {sorted_a} = '' OR {sorted_b} = '' THEN 0.0 ELSE round_even(100 * {indel_ratio_sql(sorted_a, sorted_b)}, 0) / 100 END"

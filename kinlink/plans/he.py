@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kinlink.functions.regex import rewrite, rewrite_sql, search
 from kinlink.functions.rules import CEEB_UNIVERSITY_NAME, IPEDS_NAME
-from kinlink.functions.similarity import best_similarities
+from kinlink.functions.similarity import best_similarities, indel_ratio_sql, sorted_words_sql, token_sort_ratio_sql
 from kinlink.operators.consolidate import earliest_non_null, latest_non_null
 from kinlink.operators.relational import narrowed, share, top_k, union_by_name, unpivoted
 from kinlink.operators.search import BM25, bm25_top_k
@@ -37,7 +37,8 @@ def hd_table(hd: DataFrame, states: DataFrame, order: str = "rec_id") -> DataFra
         F.substring("zip", 1, 5).alias("zip"), F.lpad(F.col("fips").cast("string"), 2, "0").alias("state_fips"), F.lpad(F.col("countycd").cast("string"), 5, "0").alias("fips"),
         F.col("latitude").try_cast("double").alias("latitude"), F.col("longitud").try_cast("double").alias("longitude"), F.col(order).alias("_order"),
     )
-    s = states.select("state_abbr", "state").dropDuplicates(["state_abbr"])
+    # of an abbreviation under two names, the first in order
+    s = states.where("state_abbr is not null").groupBy("state_abbr").agg(F.min("state").alias("state"))
     d = a.join(s, "state_abbr", "left")
     return latest_non_null(d, "ipeds", ["edition", "_order"], [c for c in d.columns if c not in ("ipeds", "_order")])
 
@@ -192,7 +193,7 @@ _HD = f"""a AS (SELECT CAST(unitid AS VARCHAR) AS ipeds, nullif(nullif(nullif(re
   nullif(replace(addr, {_Q}, ''), ' ') AS address, nullif(replace(city, {_Q}, ''), ' ') AS city, nullif(replace(countynm, {_Q}, ''), ' ') AS county_name, nullif(replace(stabbr, {_Q}, ''), ' ') AS state_abbr,
   substr(zip, 1, 5) AS zip, lpad(CAST(fips AS VARCHAR), 2, '0') AS state_fips, lpad(CAST(countycd AS VARCHAR), 5, '0') AS fips,
   TRY_CAST(latitude AS DOUBLE) AS latitude, TRY_CAST(longitud AS DOUBLE) AS longitude, rec_id FROM ipeds_hd WHERE sector != 0),
-states AS (SELECT DISTINCT state_abbr, state FROM ceeb_school),
+states AS (SELECT state_abbr, min(state) AS state FROM ceeb_school WHERE state_abbr IS NOT NULL GROUP BY state_abbr),
 b AS (SELECT * FROM a LEFT JOIN states USING (state_abbr)),
 hd AS MATERIALIZED (SELECT ipeds, {', '.join(f'arg_max({c}, row(edition, rec_id)) FILTER (WHERE {c} IS NOT NULL) AS {c}' for c in _FIELDS)} FROM b GROUP BY ipeds)"""
 _U = f"""u AS MATERIALIZED (SELECT ceeb_code AS ceeb, name AS ceeb_name, {rewrite_sql('name', CEEB_UNIVERSITY_NAME)} AS name, state FROM ceeb_university
@@ -216,24 +217,12 @@ stats AS (SELECT (SELECT count(*) FROM docs) AS n, (SELECT sum(len(w)) FROM w) A
 q AS (SELECT concat_ws('|', ceeb, name) AS query, lower(state) AS block, unnest(list_distinct({_WORDS.format('name')})) AS term FROM pool),
 hits AS (SELECT query, ipeds AS doc, sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * length / (total / n)))) AS score
   FROM q JOIN post USING (block, term) JOIN df USING (term), stats GROUP BY 1, 2)"""
-# The longest common subsequence, a row of its table for each letter of a, as lists of numbers: reduced from the first row
-# over a's letters, and each row from [0] over b's letters with their places.
-_LCS = """list_reduce(list_concat([list_transform(range(0, len({b}) + 1), lambda i: CAST(0 AS BIGINT))], list_transform(string_split({a}, ''), lambda c: [CAST(unicode(c) AS BIGINT)])),
-  lambda above, ca: list_reduce(list_concat([[CAST(0 AS BIGINT)]], list_transform(range(1, len({b}) + 1), lambda j: [j, CAST(unicode({b}[j]) AS BIGINT)])),
-    lambda now, jb: list_append(now, CASE WHEN jb[2] = ca[1] THEN above[jb[1]] + 1 ELSE greatest(above[jb[1] + 1], now[len(now)]) END)))[len({b}) + 1]"""
-
-
-def _indel_sql(a: str, b: str) -> str:
-    return f"(CASE WHEN {a} = '' OR {b} = '' THEN CAST({a} = {b} AS INT) ELSE 2 * {_LCS.format(a=a, b=b)} / (len({a}) + len({b})) END)"
-
-
-_SORTED = "trim(array_to_string(list_sort(list_filter(string_split(regexp_replace(lower({}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' '), lambda w: w <> '')), ' '))"
 _FOUR = ("a, b", "a, b || ' ' || city", "a || ' ' || city, b", "a || ' ' || city, b || ' ' || city")
 _FUZZY = f"""best AS (SELECT query, ipeds, ceeb, search_name, d.name, d.city, d.state, h.edition, score FROM (SELECT query, doc AS ipeds, score FROM hits QUALIFY row_number() OVER (PARTITION BY query ORDER BY score DESC, doc) <= 10)
   JOIN (SELECT DISTINCT concat_ws('|', ceeb, name) AS query, ceeb, name AS search_name FROM pool WHERE ceeb IS NOT NULL) USING (query) JOIN docs d USING (ipeds) JOIN (SELECT ipeds, edition FROM hd) h USING (ipeds)),
 four AS MATERIALIZED ({" UNION ALL ".join(f"SELECT query, ipeds, {x.split(', ')[0]} AS x, {x.split(', ')[1]} AS y FROM (SELECT query, ipeds, search_name AS a, name AS b, city FROM best)" for x in _FOUR)}),
-sorted AS MATERIALIZED (SELECT DISTINCT x, y, {_SORTED.format('x')} AS sx, {_SORTED.format('y')} AS sy FROM four WHERE x IS NOT NULL AND y IS NOT NULL),
-measured AS MATERIALIZED (SELECT x, y, {_indel_sql('x', 'y')} AS r, CASE WHEN sx = '' OR sy = '' THEN 0.0 ELSE round_even(100 * {_indel_sql('sx', 'sy')}, 0) / 100 END AS f FROM sorted),
+sorted AS MATERIALIZED (SELECT DISTINCT x, y, {sorted_words_sql('x')} AS sx, {sorted_words_sql('y')} AS sy FROM four WHERE x IS NOT NULL AND y IS NOT NULL),
+measured AS MATERIALIZED (SELECT x, y, {indel_ratio_sql('x', 'y')} AS r, {token_sort_ratio_sql('sx', 'sy')} AS f FROM sorted),
 ratios AS (SELECT query, ipeds, max(r) AS similarity_ratio, max(f) AS fuzz_ratio FROM four LEFT JOIN measured USING (x, y) GROUP BY query, ipeds),
 fuzzy AS MATERIALIZED (SELECT ipeds, score AS match_score, ceeb, search_name, name, city, state, edition, similarity_ratio, fuzz_ratio FROM best JOIN ratios USING (query, ipeds)
   WHERE (score > {SCORE_ALONE} OR similarity_ratio > {RATIO_ALONE} OR fuzz_ratio > {FUZZ_ALONE}) AND score > {SCORE_LEAST}

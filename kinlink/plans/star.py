@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinlink.functions.regex import Rule, replace_all, replace_first, rewrite, rewrite_sql, search
-from kinlink.functions.similarity import indel_ratio, token_sort_ratio
+from kinlink.functions.similarity import indel_ratio, indel_ratio_sql, sorted_words_sql, token_sort_ratio, token_sort_ratio_sql
 from kinlink.operators.cascade import Round, cascade, unique_join
 from kinlink.operators.consolidate import earliest_non_null, latest_non_null
 from kinlink.operators.pairing import potential_duplicates, two_rounds
@@ -226,6 +226,9 @@ SQL = {
   SELECT c_id, s_id, '1) name, city' AS strength FROM g1 UNION ALL SELECT c_id, s_id, '2) name, state' FROM g2""",
     "likely_duplicates": f"WITH {_PARTIES}, known AS (SELECT c_id, s_id FROM c JOIN s ON c.name = s.name AND c.state = s.state QUALIFY count(*) OVER (PARTITION BY c.name, c.state) = 1), cc AS (SELECT * FROM c ANTI JOIN known USING (c_id)), ss AS (SELECT * FROM s ANTI JOIN known USING (s_id)), d1 AS (SELECT c_id, s_id FROM cc JOIN ss USING (name, city)), d2 AS (SELECT c_id, s_id FROM (SELECT * FROM cc ANTI JOIN d1 USING (c_id)) JOIN ss USING (name)) SELECT c_id, s_id, '(potential duplicates) name, city' AS strength FROM d1 UNION ALL SELECT c_id, s_id, '(potential duplicates) name' FROM d2",
     "html_rows": "SELECT n_regionkey, CAST(n_nationkey AS VARCHAR) AS id, n_name AS name FROM nation",
+    "similar_names": f"""WITH n AS (SELECT DISTINCT p_name, split_part(p_name, ' ', 1) AS w FROM part),
+  j AS MATERIALIZED (SELECT n.p_name, o.p_name AS other, {sorted_words_sql('n.p_name')} AS sa, {sorted_words_sql('o.p_name')} AS sb FROM n JOIN n o ON n.w = o.w AND n.p_name < o.p_name)
+  SELECT p_name, other, round({indel_ratio_sql('p_name', 'other')}, 6) AS indel, {token_sort_ratio_sql('sa', 'sb')} AS token_sort FROM j""",
     "county_table": "SELECT statefp AS state_fips, countyfp AS county_fips, geoid AS fips, namelsad AS county_name, name AS county_name_short, CAST(intptlat AS DOUBLE) AS center_latitude, CAST(intptlon AS DOUBLE) AS center_longitude, edition FROM geography_county",
     "code_list": "SELECT DISTINCT ceeb FROM ceeb_school ANTI JOIN (SELECT ceeb_code AS ceeb FROM ncaa_school) USING (ceeb)",
 }

@@ -40,20 +40,23 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + at
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Compute df once and cut its lineage: a Parquet table in the shared folder.
-
-    Columnar and compressed, it takes a fraction of the disk of a checkpointed RDD. It outlives any
-    executor; all tables of an application lie in one folder, removed when the driver's Python ends.
-    """
-    spark = df.sparkSession
+def scratch(spark: SparkSession) -> str:
+    """A new path in the application's part of the shared folder, which is removed when the driver's Python ends."""
     folder = f"{shared_dir(spark).rstrip('/')}/kinlink-{spark.sparkContext.applicationId}"
     if folder not in _folders:
         _folders[folder] = spark
         atexit.register(_remove, spark, folder)
-    path = f"{folder}/{uuid.uuid4().hex}"
+    return f"{folder}/{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Compute df once and cut its lineage: a Parquet table in the shared folder.
+
+    Columnar and compressed, it takes a fraction of the disk of a checkpointed RDD, and it outlives any executor.
+    """
+    path = scratch(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 _folders: dict[str, SparkSession] = {}
