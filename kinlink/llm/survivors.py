@@ -41,8 +41,11 @@ def votes(rows: DataFrame, fields: dict[str, list[str]], half_life_days: float |
         exponent = F.coalesce(F.datediff(F.col("at"), F.lit("2030-01-01")), F.lit(-20000)) / F.lit(half_life_days)
         k, instant = F.floor(exponent / STEP), F.lit(None).cast("struct<at:timestamp_ntz,rec:bigint>")
     weight = F.col("trust") * F.pow(F.lit(2.0), exponent - STEP * k)
-    newest = F.max(F.struct(order.alias("order"), "value"))
-    steps = long.groupBy("grp", "field", value_key(F.col("value")).alias("same"), k.alias("k"), instant.alias("instant")).agg(newest.alias("n"), F.sum(weight).alias("s"))
+    # values are told apart within their group only, so 64 bits do
+    step = long.select("grp", "field", F.xxhash64(value_key(F.col("value"))).alias("same"), k.alias("k"), instant.alias("instant"), F.struct(order.alias("order"), "value").alias("n"), weight.alias("s"))
+    # an instant has one row, whose vote is its step's sum
+    keys = ["grp", "field", "same", "k", "instant"]
+    steps = step if half_life_days is None else step.groupBy(*keys).agg(F.max("n").alias("n"), F.sum("s").alias("s"))
     # the step before the newest has the other parity
     even, of_step = F.col("k") % 2 == 0, F.struct("k", "instant", "s")
     by_value = steps.groupBy("grp", "field", "same").agg(F.max("n").alias("n"), F.max(F.when(even, of_step)).alias("even"), F.max(F.when(~even, of_step)).alias("odd"))
