@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import shutil
 import time
@@ -38,3 +39,13 @@ def not_yet(codes: list[str], have: set[str], size: int = 50) -> list[list[str]]
     """The codes not looked up so far, sorted, in chunks."""
     todo = sorted(set(codes) - have)
     return [todo[i : i + size] for i in range(0, len(todo), size)]
+
+
+def save_responses(responses: list, folder: str, name: str) -> str:
+    """Answers of a search kept as one JSON file, as json_hits reads them; gives its path."""
+    os.makedirs(folder, exist_ok=True)
+    path = os.path.join(folder, f"{name}.json")
+    with open(path + ".part", "w", encoding="utf8") as f:
+        json.dump(responses, f, indent=2)
+    os.replace(path + ".part", path)
+    return path

@@ -22,21 +22,44 @@ def edition_of(path_column: str = "_file") -> F.Column:
     return F.nullif(F.regexp_extract(F.regexp_extract(path_column, r"([^/]*)$", 1), r"\d{4}", 0), F.lit("")).cast("int")
 
 
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a file, or of the first file with one in a folder."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(conf)
+    files = sorted((f.getPath() for f in fs.listStatus(at) if f.isFile()), key=lambda p: p.getName()) if fs.getFileStatus(at).isDirectory() else [at]
+    for f in files:
+        if f.getName()[:1] in "._":
+            continue
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(f)
+        stream = fs.open(f)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+        try:
+            if (line := reader.readLine()) is not None:
+                return line
+        finally:
+            reader.close()
+    return None
+
+
 def csv_files(spark: SparkSession, paths: list[str], null_value: str = " ", edition: bool = True) -> DataFrame:
     """CSV files with differing headers as one table, columns aligned by name; broken rows are skipped.
 
-    All columns stay text, as ids have leading zeros. edition is taken from each file's name.
+    All columns stay text, as ids have leading zeros. edition is taken from each file's name. Files of one header are
+    read at once, so the plan grows with the number of different headers, not of files; the driver reads their first lines.
     """
-    def one(p: str) -> DataFrame:
-        d = spark.read.csv(p, header=True, mode="DROPMALFORMED", nullValue=null_value, encoding="UTF-8")
-        return d.withColumn("edition", edition_of_path(p)) if edition else d
+    alike: dict[str | None, list[str]] = {}
+    for p in paths:
+        alike.setdefault(first_line(spark, p), []).append(p)
 
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [one(p) for p in paths])
+    def of(group: list[str]) -> DataFrame:
+        d = spark.read.csv(group, header=True, mode="DROPMALFORMED", nullValue=null_value, encoding="UTF-8")
+        # a table written by Spark is a folder of parts, which bears the name
+        name = F.regexp_extract("_metadata.file_path", r"([^/]*)(?:/part-[^/]*)?$", 1)
+        return d.select("*", F.nullif(F.regexp_extract(name, r"\d{4}", 0), F.lit("")).cast("int").alias("edition")) if edition else d
 
-
-def edition_of_path(path: str) -> F.Column:
-    m = re.search(r"\d{4}", path.rstrip("/").rsplit("/", 1)[-1])
-    return F.lit(int(m.group()) if m else None).cast("int")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), map(of, alike.values()))
 
 
 def ndjson(spark: SparkSession, path: str, fields: list[str]) -> DataFrame:
@@ -221,8 +244,8 @@ def shapefiles(spark: SparkSession, path: str, edition: int) -> DataFrame:
 def pdf_text(data: bytes, skip_pages: int = 1) -> str:
     """Text of a PDF's pages in the order of its content streams, without the first skip_pages.
 
-    Reads plain and deflated streams with literal strings, as text extracts of directories have;
-    not a general PDF reader.
+    Reads plain and deflated streams with literal and hexadecimal strings, as text extracts of directories have;
+    not a general PDF reader (fonts with maps of their own and object streams are not read).
     """
     pages = []
     for m in re.finditer(rb"<<(.*?)>>\s*stream\r?\n(.*?)\r?\nendstream", data, re.S):
@@ -233,10 +256,13 @@ def pdf_text(data: bytes, skip_pages: int = 1) -> str:
             except zlib.error:
                 continue
         lines, line = [], ""
-        for op in re.finditer(rb"\((?:\\.|[^\\()])*\)|\bT[*dDm](?!\w)|\bTJ\b|\bTj\b|\bET\b|'", body, re.S):
+        for op in re.finditer(rb"\((?:\\.|[^\\()])*\)|<[0-9A-Fa-f\s]*>|\bT[*dDm](?!\w)|\bTJ\b|\bTj\b|\bET\b|'", body, re.S):
             x = op.group()
             if x[:1] == b"(":
                 line += re.sub(r"\\(.)", r"\1", x[1:-1].decode("cp1252", "replace"))
+            elif x[:1] == b"<":
+                raw = bytes.fromhex(re.sub(r"\s", "", x[1:-1].decode()).ljust(2, "0"))
+                line += raw[2:].decode("utf-16-be", "replace") if raw[:2] == b"\xfe\xff" else raw.decode("cp1252", "replace")
             elif x in (b"T*", b"Td", b"TD", b"Tm", b"ET", b"'") and line:
                 lines.append(line)
                 line = ""
@@ -264,6 +290,66 @@ def address_parts(c: str) -> dict[str, F.Column]:
     return {n: F.nullif(F.regexp_extract(c, p, i), F.lit("")) for i, n in enumerate(("address", "city", "state", "zip"), 1)}
 
 
+class _Cells(HTMLParser):
+    """Texts of the cells of each row, the parts of one joined by <br>, and of spans of class error."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.rows: list[list[list[str]]] = []
+        self.errors: list[str] = []
+        self.into: list[str] | None = None
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "tr":
+            self.rows.append([])
+        elif tag == "td" and self.rows:
+            self.into = []
+            self.rows[-1].append(self.into)
+        elif tag == "span" and "error" in (dict(attrs).get("class") or "").split():
+            self.into = self.errors
+
+    def handle_endtag(self, tag):
+        if tag in ("td", "span") and not (tag == "span" and self.into is not self.errors):
+            self.into = None
+
+    def handle_data(self, data):
+        if self.into is not None and data.strip():
+            self.into.append(data.strip())
+
+
+LOOKUP = ("ncaa_code", "ceeb_code", "name", "address", "city", "state", "zip", "message")
+# How the answer's rows are headed.
+HEADED = {"ncaa_code": "NCAA High School Code", "ceeb_code": "CEEB Code", "name": "High School Name"}
+
+
+def lookup_record(code: str, page: str | None) -> dict[str, str | None]:
+    """The eight fields of an answer to a lookup by code; a failed one has the code and its message only."""
+    p = _Cells()
+    p.feed(page or "")
+    p.close()
+    told = {"<br>".join(r[0]): "<br>".join(r[1]) for r in p.rows if len(r) == 2}
+    out: dict[str, str | None] = dict.fromkeys(LOOKUP)
+    m = re.match(r"(.*)<br>(.*)<br>(\w\w)\s+- (\d+)", told.get("Address", ""))
+    if not m:
+        return out | {"ceeb_code": code, "message": " ".join(p.errors) or None}
+    return out | {k: told.get(h) for k, h in HEADED.items()} | dict(zip(("address", "city", "state", "zip"), m.groups()))
+
+
+def lookups(pages: DataFrame, code: str, column: str) -> DataFrame:
+    """The records of answers (code, page), a row each."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for t in batches:
+            yield pd.DataFrame([lookup_record(c, page) for c, page in zip(t[code], t[column])], columns=list(LOOKUP))
+
+    return pages.select(code, column).mapInPandas(run, ", ".join(f"{c} string" for c in LOOKUP))
+
+
+def state_title(name: str) -> str:
+    """A state's name in capitals as it is written in text: District of Columbia."""
+    return re.sub(r"\bOf\b", "of", name.title())
+
+
 def register_tables(spark: SparkSession, folder: str, names: list[str], prefix: str = "") -> list[str]:
     """Temp views over the Parquet tables of a folder; gives the views' names."""
     out = []

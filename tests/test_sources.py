@@ -152,3 +152,28 @@ def test_feeds(spark, tmp_path):
     assert (s[0].nces, s[0].public_private, s[0].state_fips, s[1].district, s[1].fips) == ("0000A", "private", "6", "d", None)
     g = spark.createDataFrame([("01", "11111", "n", "+1.5", "-2.5", 2024, None)], "statefp string, unsdlea string, name string, intptlat string, intptlon string, edition int, geom binary")
     assert feeds.layer_table(g, "school_district").first().center_latitude == 1.5
+
+
+def test_files_of_one_header_are_read_at_once(spark, tmp_path):
+    for y in range(2001, 2013):
+        (tmp_path / f"hd{y}.csv").write_text(("a,b\n1,2\n" if y % 2 else "b,c\n3,4\n"))
+    d = readers.csv_files(spark, [str(tmp_path / f"hd{y}.csv") for y in range(2001, 2013)])
+    got = sorted((r.edition, r.a, r.b, r.c) for r in d.collect())
+    assert got == [(y, "1", "2", None) if y % 2 else (y, None, "3", "4") for y in range(2001, 2013)]
+    assert d._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 2
+
+
+def test_lookups(spark):
+    page = "<table><tr><td>Details</td></tr><tr><td>NCAA High School Code</td><td>123</td></tr><tr><td>CEEB Code</td><td>000456</td></tr><tr><td>High School Name</td><td>Oak &amp; Elm <b>High</b></td></tr><tr><td>Address</td><td>1 Oak St<br>Ayton<br>NY  - 12345</td></tr></table>"
+    d = spark.createDataFrame([("000456", page), ("000789", "<span class='x error'> No such code </span>"), ("1", None)], "code string, html string")
+    got = sorted(map(tuple, readers.lookups(d, "code", "html").collect()), key=lambda r: r[1])
+    assert got == [("123", "000456", "Oak & Elm<br>High", "1 Oak St", "Ayton", "NY", "12345", None), (None, "000789", None, None, None, None, None, "No such code"), (None, "1", None, None, None, None, None, None)]
+
+
+def test_small_helpers(spark, tmp_path):
+    assert [readers.state_title(x) for x in ("DISTRICT OF COLUMBIA", "NEW YORK")] == ["District of Columbia", "New York"]
+    path = landing.save_responses([{"hits": {"hits": [{"_source": {"org_full_name": "A"}}]}}], str(tmp_path / "j"), "New York")
+    assert [tuple(r) for r in readers.json_hits(spark, path, "org_full_name string").collect()] == [("A", "New York")]
+    sinks.replace_table(spark.range(100).selectExpr("100 - id AS v"), str(tmp_path / "t"), cluster_by=["v"])
+    assert [r.v for r in spark.read.parquet(str(tmp_path / "t")).sort("v").collect()] == list(range(1, 101))
+    assert readers.pdf_text(b"<< /Length 9 >>\nstream\nBT <48656C6C6F> Tj ( x) Tj T* <FEFF00E9> Tj ET\nendstream", 0) == "Hello x\n\u00e9"
